@@ -22,7 +22,7 @@ LIMIT, OVERLAP = 512, 64
 VOCABULARY = os.path.join(FOLDER, "byte_bpe_50k.tiktoken")
 
 # What counts as a value, and the order of trust.
-SOURCES = ("silva", "pr2", "silva+pr2", "pr2+silva")
+SOURCES = r"(?:silva|pr2)(?:[^a-z0-9]+(?:silva|pr2))*"
 METHODS = ("native", "lowest_common_ancestor", "updated_reference_cluster", "cross_domain_ambiguous_exact_sequence")
 TRUSTED = METHODS[:3]
 
@@ -43,6 +43,10 @@ def _among(column: str, values: tuple[str, ...]):
     return F.when(_tidy(column).isin(*values), _tidy(column))
 
 
+def _like(column: str, pattern: str):
+    return F.when(_tidy(column).rlike(rf"\A{pattern}\z"), _tidy(column))
+
+
 SURVIVOR_FIELDS = ["taxonomy_source", "assignment_method", "cross_domain_conflict"]
 
 
@@ -55,7 +59,7 @@ def _survivors(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "preferred_taxonomy"),
         canonical_sequence_id(F.col("sequence_id")),
         [
-            Field("taxonomy_source", _among("taxonomy_source", SOURCES)),
+            Field("taxonomy_source", _like("taxonomy_source", SOURCES)),
             Field("assignment_method", _among("assignment_method", METHODS)),
             Field("cross_domain_conflict", F.col("cross_domain_conflict").cast("string")),
         ],
@@ -111,7 +115,7 @@ _SOURCE = "lower(regexp_replace(taxonomy_source, '^\\s+|\\s+$', '', 'g'))"
 _CHOSEN = (
     "WITH t AS (SELECT 'SSU_' || nullif(regexp_extract(sequence_id, '[Ss][Ss][Uu]_([A-Za-z0-9_-]{43})', 1), '') AS sequence_id, row_id, loaded_at, "
     f"CASE {_METHOD} WHEN 'native' THEN 1 WHEN 'lowest_common_ancestor' THEN 2 WHEN 'updated_reference_cluster' THEN 3 ELSE 4 END AS trust, "
-    f"CASE WHEN {_SOURCE} IN {SOURCES} THEN {_SOURCE} END AS a, CASE WHEN {_METHOD} IN {METHODS} THEN {_METHOD} END AS b, CAST(cross_domain_conflict AS VARCHAR) AS c FROM preferred_taxonomy), "
+    f"CASE WHEN regexp_full_match({_SOURCE}, '{SOURCES}') THEN {_SOURCE} END AS a, CASE WHEN {_METHOD} IN {METHODS} THEN {_METHOD} END AS b, CAST(cross_domain_conflict AS VARCHAR) AS c FROM preferred_taxonomy), "
     "g AS (SELECT * FROM t WHERE sequence_id IN (SELECT sequence_id FROM t GROUP BY sequence_id HAVING count(*) > 1)), "
     "u AS (SELECT sequence_id, 'taxonomy_source' AS field_name, a AS value, trust, loaded_at, row_id FROM g UNION ALL SELECT sequence_id, 'assignment_method', b, trust, loaded_at, row_id FROM g "
     "UNION ALL SELECT sequence_id, 'cross_domain_conflict', c, trust, loaded_at, row_id FROM g), "

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,11 +72,25 @@ def greedy_overlap(df: DataFrame, keys: Sequence[str], hit: str, model: str, sta
                      F.col(end).cast("bigint").alias("end"), e_value.cast("double").alias("e_value"), bit_score.cast("double").alias("bit_score"))
     schema = ", ".join(f"{n} {t}" for n, t in rows.select(*keys, "hit").dtypes)
     names = [*keys, "hit"]
-
-    def contest(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(settle(pdf.to_dict("records"), rivals), columns=pdf.columns)[names]
-
-    return islands(rows, keys, "start", "end").groupBy(*keys, "island").applyInPandas(contest, schema)
+    group = [*keys, "island"]
+
+    def contest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Islands come one after the other, so only the one at hand is held."""
+        island: list[dict] = []
+        for batch in batches:
+            won: list[dict] = []
+            for row in batch.to_pylist():
+                if island and any(row[k] != island[0][k] for k in group):
+                    won += settle(island, rivals)
+                    island = []
+                island.append(row)
+            if won:
+                yield pa.RecordBatch.from_pylist(won, schema=pa.schema([batch.schema.field(n) for n in names]))
+        if island:
+            yield pa.RecordBatch.from_pylist(settle(island, rivals), schema=pa.schema([batch.schema.field(n) for n in names]))
+
+    # one shuffle: the windows, the sort and the contest all work on rows partitioned by the keys
+    return islands(rows.repartition(*keys), keys, "start", "end").sortWithinPartitions(*keys, "start", "end").mapInArrow(contest, schema)
 
 
 def collinear(fragments: Column, model_from: str = "model_from", model_to: str = "model_to", seq_from: str = "seq_from", seq_to: str = "seq_to", strand: str = "strand") -> Column:

@@ -300,10 +300,10 @@ def member_propagation(t):
 
 
 @query("""SELECT event_type, count(*) AS rows, count(*) FILTER (WHERE value > 100) AS high, count(DISTINCT user_id) FILTER (WHERE value > 100) AS high_users,
-count(DISTINCT (user_id, CAST(value AS INTEGER))) AS pairs, count(props) AS with_props FROM events GROUP BY 1""")
+count(DISTINCT (user_id, CAST(floor(value) AS BIGINT))) AS pairs, count(props) AS with_props FROM events GROUP BY 1""")
 def filter_aggs(t):
     high = F.col("value") > 100
-    whole = F.round("value", 0).cast("int")
+    whole = F.floor("value")
     return t("events").groupBy("event_type").agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(high).alias("high"), F.count_distinct(F.when(high, F.col("user_id"))).alias("high_users"),
         F.count_distinct(F.struct("user_id", whole)).alias("pairs"), F.count("props").alias("with_props"))

@@ -7,7 +7,7 @@ literal: an array in which the place of a pair is computed from its two tokens,
 so a lookup costs the same whatever the size of the vocabulary.
 
 The distinct words of the whole corpus are counted by the texts they occur in;
-the ``frequent`` commonest are folded once and become a second literal table that
+the ``frequent`` most worth it are folded once and become a second literal table that
 is looked up where the words stand.  The words that are left, one or two in a
 hundred, are folded in place.  So the texts are never shuffled, and ``frequent``
 bounds the table and decides nothing but speed.
@@ -165,8 +165,8 @@ def fold_merges(word: Column, vocabulary: str) -> Column:
             ids, ranks = state["ids"], state["ranks"]
             token = best.cast("int")
             return F.struct(
-                F.concat(F.slice(ids, F.lit(1), at - 1), F.array(token), F.slice(ids, at + 2, F.lit(WHOLE))).alias("ids"),
-                F.concat(F.slice(ranks, F.lit(1), at - 2), F.array(rank(F.get(ids, at - 2), token), rank(token, F.get(ids, at + 1))), F.slice(ranks, at + 2, F.lit(WHOLE))).alias("ranks"))
+                F.flatten(F.array(F.slice(ids, F.lit(1), at - 1), F.array(token), F.slice(ids, at + 2, F.lit(WHOLE)))).alias("ids"),
+                F.flatten(F.array(F.slice(ranks, F.lit(1), at - 2), F.array(rank(F.get(ids, at - 2), token), rank(token, F.get(ids, at + 1))), F.slice(ranks, at + 2, F.lit(WHOLE)))).alias("ranks"))
 
         def merged(state: Column, _: Column) -> Column:
             return _let(F.array_min(state["ranks"]), lambda best: F.when(best >= RANKS, state).otherwise(
@@ -231,7 +231,7 @@ def _frequent_table(rows: list) -> tuple[Column, int, int]:
     return literals, table.buckets, table.slots
 
 
-def encode_corpus(documents: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text", frequent: int = 131_072) -> DataFrame:
+def encode_corpus(documents: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text", frequent: int = 65_536) -> DataFrame:
     """Token ids of every text: ``<doc_id>, ids``, without special tokens.
 
     * Empty and null texts keep their row, with an empty list; so do rows with a null id.
@@ -241,8 +241,10 @@ def encode_corpus(documents: DataFrame, vocabulary: str, doc_id: str = "doc_id",
     """
     rows = documents.select(F.col(doc_id).alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
     counted = rows.select(F.explode(F.array_distinct(words_in(F.col("__text")))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("texts"))
-    # bounded by ``frequent``, whatever the size of the corpus
-    top = materialize(counted.where("texts > 1").orderBy(F.desc("texts"), "word").limit(frequent).select("word").repartition(documents.sparkSession.sparkContext.defaultParallelism), "frequent")
+    # what a word costs grows with its length; the table is bounded by ``frequent`` words of 96 bytes, whatever the size of the corpus
+    size = F.octet_length("word")
+    worth = counted.where((F.col("texts") > 1) & (size <= 2 * CHUNK)).orderBy((F.col("texts") * size).desc(), "word")
+    top = materialize(worth.limit(frequent).select("word").repartition(documents.sparkSession.sparkContext.defaultParallelism), "frequent")
     table = top.select("word", _key(F.col("word")).alias("key"), fold_merges(F.col("word"), vocabulary).alias("ids")).collect()
     encoded = lambda w: fold_merges(w, vocabulary)
     if table:

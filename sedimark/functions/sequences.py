@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -119,8 +120,6 @@ def version_key(version: Column) -> Column:
 
 def general_format(digits: int = 6):
     """A function from double to text as printf ``%g`` writes it with ``digits`` digits; for text sinks only."""
-    import pandas as pd
-
     def formatted(values: pd.Series) -> pd.Series:
         return values.map(lambda v: None if v is None or v != v else format(v, f".{digits}g"))
 

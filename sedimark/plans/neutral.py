@@ -318,8 +318,9 @@ def site_rollup(t):
 
 @query("""WITH c AS (SELECT n_regionkey AS r_regionkey, count(*) AS total, count(*) FILTER (WHERE c_mktsegment IS NOT NULL AND c_acctbal > 0 AND lower(c_mktsegment) NOT IN ('unclassified', 'incertae sedis')) AS resolved
 FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1)
-SELECT r.r_regionkey, coalesce(resolved, 0) AS resolved, coalesce(total - resolved, 0) AS unresolved, CASE WHEN coalesce(total, 0) = 0 THEN '0.000' ELSE CAST(CAST(floor(CAST(resolved AS HUGEINT) * 100000 * 2 / total + 1) // 2 AS BIGINT) // 1000 AS VARCHAR) || '.' || lpad(CAST(CAST(floor(CAST(resolved AS HUGEINT) * 100000 * 2 / total + 1) // 2 AS BIGINT) % 1000 AS VARCHAR), 3, '0') END AS percent
-FROM region r LEFT JOIN c ON c.r_regionkey = r.r_regionkey""")
+SELECT r.r_regionkey, coalesce(resolved, 0) AS resolved, coalesce(total - resolved, 0) AS unresolved,
+CASE WHEN coalesce(total, 0) = 0 THEN '0.000' ELSE CAST(h // 1000 AS VARCHAR) || '.' || lpad(CAST(h % 1000 AS VARCHAR), 3, '0') END AS percent
+FROM region r LEFT JOIN (SELECT *, (resolved * 200000 // total + 1) // 2 AS h FROM c) c ON c.r_regionkey = r.r_regionkey""")
 def resolution_report(t):
     rows = t("customer").join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("n_regionkey").alias("r_regionkey"), F.when(F.col("c_acctbal") > 0, F.col("c_mktsegment")).alias("value"))

@@ -8,9 +8,9 @@ so a lookup costs the same whatever the size of the vocabulary.
 
 The distinct words of the whole corpus are counted by the texts they occur in;
 the ``frequent`` most worth it are folded once and become a second literal table that
-is looked up where the words stand.  The words that are left, one or two in a
-hundred, are folded in place.  So the texts are never shuffled, and ``frequent``
-bounds the table and decides nothing but speed.
+is looked up where the words stand.  The words that are left, a few in a hundred,
+are folded once each and join the runs of ids between them by text and position.
+``frequent`` bounds the table and decides nothing but speed.
 """
 
 from __future__ import annotations
@@ -239,25 +239,38 @@ def encode_corpus(documents: DataFrame, vocabulary: str, doc_id: str = "doc_id",
     * Repeated rows are encoded each; texts are encoded whole, however long; an empty table gives none.
     * Other columns, whatever their names, are not read.
     """
-    rows = documents.select(F.col(doc_id).alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
-    counted = rows.select(F.explode(F.array_distinct(words_in(F.col("__text")))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("texts"))
+    spark = documents.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    none = F.array().cast("array<int>")
+    rows = documents.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    counted = rows.select(F.explode(F.array_distinct(words_in(F.col("text")))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("texts"))
     # what a word costs grows with its length; the table is bounded by ``frequent`` words of 96 bytes, whatever the size of the corpus
     size = F.octet_length("word")
     worth = counted.where((F.col("texts") > 1) & (size <= 2 * CHUNK)).orderBy((F.col("texts") * size).desc(), "word")
-    top = materialize(worth.limit(frequent).select("word").repartition(documents.sparkSession.sparkContext.defaultParallelism), "frequent")
+    top = materialize(worth.limit(frequent).select("word").repartition(spark.sparkContext.defaultParallelism), "frequent")
     table = top.select("word", _key(F.col("word")).alias("key"), fold_merges(F.col("word"), vocabulary).alias("ids")).collect()
-    encoded = lambda w: fold_merges(w, vocabulary)
-    if table:
-        literals, buckets, slots = _frequent_table(table)
-
-        def encoded(w: Column) -> Column:  # noqa: F811
-            def found(known: Column) -> Column:
-                slot = lambda k: ((k * PerfectHash.B % slots + F.get(known["shift"], (k * PerfectHash.A % buckets).cast("int"))) % slots).cast("int")
-                return _let(_let(_key(w), slot), lambda at: F.when(F.get(known["words"], at) == w, F.get(known["ids"], at)))
-
-            return F.coalesce(_let(literals, found), fold_merges(w, vocabulary))
-
-    return rows.select(F.col("__id").alias(doc_id), F.flatten(F.transform(words_in(F.col("__text")), encoded)).alias("ids"))
+    literals, buckets, slots = _frequent_table(table) if table else (F.lit(None), 0, 0)
+
+    def frequent_ids(word: Column, known: Column) -> Column:
+        slot = lambda k: ((k * PerfectHash.B % slots + F.get(known["shift"], (k * PerfectHash.A % buckets).cast("int"))) % slots).cast("int")
+        return _let(_let(_key(word), slot), lambda at: F.when(F.get(known["words"], at) == word, F.get(known["ids"], at)))
+
+    def parted(words: Column, ids: Column) -> Column:
+        """The words without ids, and the ids before, between and after them."""
+        at = F.filter(F.transform(ids, lambda x, i: F.when(x.isNull(), i)), lambda i: i.isNotNull())
+        return _let(at, lambda p: F.struct(
+            F.transform(p, lambda i: F.get(words, i)).alias("rare"),
+            F.zip_with(F.concat(F.array(F.lit(-1)), p), F.concat(p, F.array(F.size(words))), lambda a, b: F.flatten(F.slice(ids, a + 2, b - a - 1))).alias("runs")))
+
+    looked_up = lambda w: _let(literals, lambda known: F.transform(w, lambda x: frequent_ids(x, known))) if table else F.transform(w, lambda x: F.lit(None).cast("array<int>"))
+    split = _let(words_in(F.col("text")), lambda w: _let(looked_up(w), lambda ids: parted(w, ids)))
+    stored = materialize(rows.select(F.monotonically_increasing_id().alias("row"), "id", split.alias("s")).select("row", "id", "s.runs", "s.rare"), "encoded")
+    rare = stored.select("row", F.posexplode("rare").alias("k", "word"))
+    # as many tasks as there are partitions: the words are few and small, but each takes time
+    dictionary = rare.select("word").distinct().repartition(partitions, "word").select("word", fold_merges(F.col("word"), vocabulary).alias("ids"))
+    filled = rare.join(dictionary, "word").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("k", "ids"))).alias("found"))
+    between = F.concat(F.coalesce(F.transform("found", lambda x: x["ids"]), F.array().cast("array<array<int>>")), F.array(none))
+    return stored.join(filled, "row", "left").select(F.col("id").alias(doc_id), F.flatten(F.zip_with("runs", between, lambda a, b: F.concat(a, b))).alias("ids"))
 
 
 def decode_ids(ids: Column, vocabulary: str) -> Column:

@@ -116,3 +116,16 @@ def sample_categories(rows: DataFrame, samples: DataFrame, categories: dict[str,
     tokens = F.split("taxonomy", r"[-_;|]")
     category = F.coalesce(*[F.when(F.array_contains(tokens, t), c) for t, c in categories.items()])
     return category_matrix(rows.withColumn("category", category), "sample", "category", "contig_name", samples, list(dict.fromkeys(categories.values())))
+
+
+def tree_tasks(hits: DataFrame, markers: DataFrame, references: int = 100, least: int = 3) -> tuple[DataFrame, DataFrame]:
+    """The first ``references`` subjects of each query's chosen marker, named ``REF0001`` on, and the queries skipped for want of ``least``.
+
+    ``hits`` has ``query, subject, marker, bit_score, percent_identity, alignment_length``, ``markers`` the chosen marker of each query.
+    """
+    chosen = hits.join(markers.select("query", "marker"), ["query", "marker"])
+    ranked = R.first_rows(R.first_rows(chosen, ["query", "subject"], hit_order()), ["query"], hit_order(), references, rank="rank")
+    counted = markers.select("query").join(ranked.groupBy("query").agg(F.count(F.lit(1)).alias("n")), "query", "left").na.fill(0, ["n"])
+    enough = counted.where(F.col("n") >= least).select("query")
+    tasks = ranked.join(enough, "query", "left_semi").select("query", "marker", "rank", F.format_string("REF%04d", "rank").alias("leaf"), "subject", "bit_score")
+    return tasks, counted.where(F.col("n") < least).select("query", "n", F.lit("fewer_than_three_references").alias("reason"))

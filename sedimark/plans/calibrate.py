@@ -82,3 +82,18 @@ def classified_clusters(clusters: DataFrame, hits: DataFrame, taxonomy: DataFram
 def member_assignments(outcomes: DataFrame) -> DataFrame:
     """Every member of a cluster with the cluster's outcome."""
     return outcomes.select(F.explode("members").alias("source_identifier"), "cluster_id", "reason", "taxonomy", "domain")
+
+
+def species_guard(candidate_rows: DataFrame, ranks: int = 9) -> DataFrame:
+    """Per query whether a species may be named: all candidates are exact eukaryotes of PR2 with one and the same full path.
+
+    ``candidate_rows`` has ``query, taxonomy, domain, taxonomy_source, percent_identity, query_coverage``.
+    """
+    path = path_ranks(F.col("taxonomy"))
+    exact = (F.col("percent_identity") == 100) & (F.col("query_coverage") == 100) & (F.col("domain") == "Eukaryota") & (F.col("taxonomy_source") == "PR2") & (F.size(path) == ranks)
+    return candidate_rows.groupBy("query").agg((F.bool_and(F.coalesce(exact, F.lit(False))) & (F.count_distinct("taxonomy") == 1)).alias("species"))
+
+
+def guarded(path, species):
+    """A full path without its last rank where no species may be named."""
+    return F.when((F.size(path) == 9) & ~species, F.slice(path, 1, 8)).otherwise(path)

@@ -76,3 +76,26 @@ def release_violations(seqs: DataFrame, records: DataFrame, assignments: DataFra
         "markers differ": seqs.join(markers, "sequence_id").where("markers <> held").select("sequence_id", "markers", "held"),
         "conflict with a taxonomy": preferred.where("cross_domain_conflict and taxonomy <> ''").select("sequence_id"),
     }
+
+
+def source_union(column) -> object:
+    """Aggregate: the sources named in ``+``-joined texts, sorted, joined again."""
+    return F.array_join(F.array_sort(F.array_distinct(F.filter(F.flatten(F.collect_set(F.split(column, r"\+"))), lambda x: x != ""))), "+")
+
+
+def centroid_summary(assignments: DataFrame) -> DataFrame:
+    """Per sequence the names of its centroids as sorted JSON, the common ancestor of their taxonomies and their sources."""
+    rows = assignments.withColumn("__r", valid_path(F.col("centroid_taxonomy")))
+    grouped = rows.groupBy("sequence_id").agg(
+        F.array_sort(F.collect_set(F.nullif("centroid_name", F.lit("")))).alias("names"), F.min("__r").alias("a"), F.max("__r").alias("b"), source_union(F.col("centroid_taxonomy_source")).alias("centroid_taxonomy_source"))
+    return grouped.select(
+        "sequence_id", F.when(F.size("names") > 0, F.to_json("names")).otherwise("").alias("centroid_names"),
+        F.coalesce(F.array_join(shared_prefix(F.array("a", "b")), ";"), F.lit("")).alias("centroid_taxonomy"), "centroid_taxonomy_source")
+
+
+def merged_alternatives(rows: DataFrame, key: str, column: str = "taxonomy_alternatives") -> DataFrame:
+    """Distinct objects of several JSON arrays per key, keys sorted, as one sorted JSON array; empty text without any."""
+    names = ("assignment_method", "compartment", "domain", "taxonomy", "taxonomy_source")
+    held = F.from_json(F.col(column), "array<struct<" + ",".join(f"{n}:string" for n in names) + ">>")
+    one = rows.select(key, F.explode_outer(held).alias("o")).groupBy(key).agg(F.array_sort(F.collect_set(F.when(F.col("o").isNotNull(), F.to_json("o")))).alias("all"))
+    return one.select(key, F.when(F.size("all") > 0, F.concat(F.lit("["), F.array_join("all", ","), F.lit("]"))).otherwise("").alias(column))

@@ -122,3 +122,27 @@ def test_calibration(spark):
     out = calibrate.classified_clusters(clusters, hits.where("subject <> query"), taxonomy, caps, "16S")
     assert {r.cluster_id: (r.reason, r.taxonomy) for r in out.collect()} == {"k": ("assigned", "B"), "none": ("no_hits", ""), "empty": ("no_img_members", "")}
     assert calibrate.member_assignments(out).count() == 3
+
+
+def test_release_details(spark):
+    rows = spark.createDataFrame([("s", "n2", "B;P;C", "SILVA+PR2"), ("s", "n1", "B;P;D", "SILVA"), ("s", "", "", ""), ("t", None, None, None)], "sequence_id string, centroid_name string, centroid_taxonomy string, centroid_taxonomy_source string")
+    got = {r.sequence_id: tuple(r)[1:] for r in release.centroid_summary(rows).collect()}
+    assert got == {"s": ('["n1","n2"]', "B;P", "PR2+SILVA"), "t": ("", "", "")}
+    a, b = '{"taxonomy":"A","domain":"d"}', '{"domain":"d","taxonomy":"B"}'
+    rows = spark.createDataFrame([("k", f"[{a},{b}]"), ("k", f"[{a}]"), ("e", "")], "k string, taxonomy_alternatives string")
+    assert {r.k: r.taxonomy_alternatives for r in release.merged_alternatives(rows, "k").collect()} == {"k": '[{"domain":"d","taxonomy":"A"},{"domain":"d","taxonomy":"B"}]', "e": ""}
+
+
+def test_tree_tasks_and_guard(spark):
+    hits = spark.createDataFrame([("q", f"s{i}", "16S", float(i), 1.0, 1) for i in range(5)] + [("q", "z", "18S", 99.0, 1.0, 1), ("p", "s1", "16S", 1.0, 1.0, 1)],
+                                 "query string, subject string, marker string, bit_score double, percent_identity double, alignment_length int")
+    markers = spark.createDataFrame([("q", "16S"), ("p", "16S"), ("none", "18S")], "query string, marker string")
+    tasks, skipped = annotate.tree_tasks(hits, markers, 4)
+    assert [(r.leaf, r.subject) for r in tasks.orderBy("rank").collect()] == [("REF0001", "s4"), ("REF0002", "s3"), ("REF0003", "s2"), ("REF0004", "s1")]
+    assert {r.query: r.n for r in skipped.collect()} == {"p": 1, "none": 0}
+    nine = "Eukaryota;a;b;c;d;e;f;g;h"
+    rows = spark.createDataFrame([("x", nine, "Eukaryota", "PR2", 100, 100), ("y", nine, "Eukaryota", "PR2", 100, 100), ("y", nine[:-1] + "i", "Eukaryota", "PR2", 100, 100), ("z", nine, "Eukaryota", "PR2", 99, 100)],
+                                 "query string, taxonomy string, domain string, taxonomy_source string, percent_identity int, query_coverage int")
+    assert {r.query: r.species for r in calibrate.species_guard(rows).collect()} == {"x": True, "y": False, "z": False}
+    marked = annotate.choose_marker(hits.withColumn("detected", F.lit("18S"))).collect()
+    assert {r.query: r.marker for r in marked} == {"q": "16S", "p": "16S"}

@@ -266,8 +266,8 @@ def encode_corpus(documents: DataFrame, vocabulary: str, doc_id: str = "doc_id",
     split = _let(words_in(F.col("text")), lambda w: _let(looked_up(w), lambda ids: parted(w, ids)))
     stored = materialize(rows.select(F.monotonically_increasing_id().alias("row"), "id", split.alias("s")).select("row", "id", "s.runs", "s.rare"), "encoded")
     rare = stored.select("row", F.posexplode("rare").alias("k", "word"))
-    # as many tasks as there are partitions: the words are few and small, but each takes time
-    dictionary = rare.select("word").distinct().repartition(partitions, "word").select("word", fold_merges(F.col("word"), vocabulary).alias("ids"))
+    # a table of its own, so that it keeps as many tasks as there are partitions: the words are small, but each takes time
+    dictionary = materialize(rare.select("word").distinct().repartition(partitions, "word").select("word", fold_merges(F.col("word"), vocabulary).alias("ids")), "dictionary")
     filled = rare.join(dictionary, "word").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("k", "ids"))).alias("found"))
     between = F.concat(F.coalesce(F.transform("found", lambda x: x["ids"]), F.array().cast("array<array<int>>")), F.array(none))
     return stored.join(filled, "row", "left").select(F.col("id").alias(doc_id), F.flatten(F.zip_with("runs", between, lambda a, b: F.concat(a, b))).alias("ids"))

@@ -13,8 +13,8 @@ AMBIGUOUS = "ambiguous"
 
 def path_ranks(path: Column) -> Column:
     """Ranks of a ``;``-joined path: trimmed, without empty ranks at the end; inner gaps stay; an empty path has none."""
-    trimmed = F.transform(F.split(F.coalesce(path, F.lit("")), ";", -1), lambda x: F.regexp_replace(x, r"^\s+|\s+$", ""))
-    joined = F.regexp_replace(F.array_join(trimmed, ";"), ";+$", "")
+    trimmed = F.regexp_replace(F.coalesce(path, F.lit("")), r"\A\s+|\s+\z|(?<=;)\s+|\s+(?=;)", "")
+    joined = F.regexp_replace(trimmed, r";+\z", "")
     return F.when(joined == "", F.array().cast("array<string>")).otherwise(F.split(joined, ";", -1))
 
 

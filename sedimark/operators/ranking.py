@@ -8,8 +8,10 @@ lets Spark limit each group before its shuffle.  For groups of any size see
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -79,6 +81,59 @@ def nearest_with_ties(df: DataFrame, keys: Sequence[str], distance: str, order:
     return rows.where(near).drop("__n", "__b")
 
 
+def nearest_vectors(rows: DataFrame, queries: DataFrame, item: str, vector: str, k: int, digits: int = 6, block: int = 1024) -> DataFrame:
+    """``query, item, distance``: the k rows nearest to each query other than itself, and all as near as the last of them.
+
+    Both tables have ``item`` and ``vector``; distances are Euclidean and rounded to ``digits`` places.  Rows and queries
+    are packed into blocks of at most ``block`` vectors and every block meets every other.  A pair of blocks keeps per
+    query only what may be among its nearest, so the pairs themselves are never shuffled.  Vectors that are null take no
+    part; where a distance is not a number there is none.
+    """
+    kind = dict(rows.dtypes)[item]
+
+    def packed(df: DataFrame, name: str) -> DataFrame:
+        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for at in range(0, batch.num_rows, block):
+                    part = batch.slice(at, block)
+                    columns = [pa.array([c.to_pylist()], pa.list_(c.type)) for c in part.columns]
+                    yield pa.RecordBatch.from_arrays(columns, names=[f"{name}_ids", f"{name}_vectors"])
+
+        held = df.select(F.col(item).alias("i"), F.col(vector).cast("array<double>").alias("v")).where("i is not null and v is not null")
+        return held.mapInArrow(pack, f"{name}_ids array<{kind}>, {name}_vectors array<array<double>>")
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                pair = batch.slice(i, 1)
+                query_ids, query_vectors, row_ids, row_vectors = (pair.column(n)[0].values for n in ("q_ids", "q_vectors", "r_ids", "r_vectors"))
+                q, r = _matrix(query_vectors), _matrix(row_vectors)
+                if q.shape[1] != r.shape[1]:
+                    raise ValueError(f"vectors of {q.shape[1]} and {r.shape[1]} numbers")
+                total = np.zeros((len(q), len(r)))
+                for d in range(q.shape[1]):  # in the order of the numbers, so that the sum is the same everywhere
+                    total += (q[:, d, None] - r[None, :, d]) ** 2
+                far = np.sqrt(total)
+                far[np.array(query_ids.to_pylist(), dtype=object)[:, None] == np.array(row_ids.to_pylist(), dtype=object)[None, :]] = np.nan
+                ordered = np.where(np.isnan(far), np.inf, far)
+                last = np.partition(ordered, k - 1, axis=1)[:, k - 1] if len(r) > k else np.full(len(q), np.inf)
+                # what differs from the last by less than rounding and tolerance may still tie with it
+                a, b = np.nonzero(far <= (last * (1 + 1e-9) + 2 * 10.0**-digits)[:, None])
+                yield pa.RecordBatch.from_arrays([query_ids.take(pa.array(a)), row_ids.take(pa.array(b)), pa.array(far[a, b])], names=["query", "item", "distance"])
+
+    pairs = packed(rows, "r").crossJoin(packed(queries, "q"))
+    kept = pairs.mapInArrow(meet, f"query {kind}, item {kind}, distance double").withColumn("distance", F.round("distance", digits))
+    return nearest_with_ties(kept, ["query"], "distance", [F.col("item")], k)
+
+
+def _matrix(vectors: pa.ListArray) -> np.ndarray:
+    """A list of equally long vectors as a matrix; null numbers are not a number."""
+    lengths = set(vectors.value_lengths().to_pylist())
+    if len(lengths) > 1:
+        raise ValueError(f"vectors of different lengths: {sorted(lengths)}")
+    return vectors.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(vectors), -1)
+
+
 def chunk_plan(df: DataFrame, position: str, chunks: int) -> DataFrame:
     """Contiguous chunks whose sizes differ by one at most, the first ones larger: ``chunk, size, first, last``.
 

@@ -108,14 +108,20 @@ FROM embeddings v, q WHERE v.vec_id <> 0),
 b AS (SELECT max(distance) AS far FROM (SELECT distance FROM d ORDER BY distance, vec_id LIMIT 10))
 SELECT vec_id, distance FROM d, b WHERE distance <= far""")
 def boundary_knn(t):
-    """The ten vectors nearest to vector 0 and all as near as the tenth; the query vector is one row, so it is broadcast."""
-    one = t("embeddings").where("vec_id = 0").select(F.col("embedding").alias("q"))
-    square = lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double"))
-    distance = F.round(F.sqrt(F.aggregate(F.zip_with("embedding", "q", square), F.lit(0.0), lambda a, x: a + x)), 6)
-    rows = t("embeddings").where("vec_id <> 0").crossJoin(F.broadcast(one)).select(F.lit(0).alias("k"), "vec_id", distance.alias("distance"))
-    # the bound is found by a top-k that every partition starts on its own rows; only then are rows compared to it
-    far = rows.orderBy("distance", "vec_id").limit(10).agg(F.max("distance").alias("far"))
-    return rows.crossJoin(F.broadcast(far)).where((F.col("distance") < F.col("far")) | (F.abs(F.col("distance") - F.col("far")) <= 1e-12)).select("vec_id", "distance")
+    """The ten vectors nearest to vector 0 and all as near as the tenth; boundary_knn_all has every query."""
+    rows = t("embeddings").select("vec_id", "embedding")
+    return R.nearest_vectors(rows, rows.where("vec_id = 0"), "vec_id", "embedding", 10).select(F.col("item").alias("vec_id"), "distance")
+
+
+@query("""WITH d AS (SELECT q.vec_id AS query_id, v.vec_id, round(sqrt(list_sum(list_transform(list_zip(v.embedding, q.embedding), lambda z: (CAST(z[1] AS DOUBLE) - CAST(z[2] AS DOUBLE)) * (CAST(z[1] AS DOUBLE) - CAST(z[2] AS DOUBLE))))), 6) AS distance
+FROM embeddings v JOIN embeddings q ON q.vec_id % 20 = 0 AND v.vec_id <> q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS n FROM d),
+b AS (SELECT query_id, max(distance) AS far FROM r WHERE n <= 10 GROUP BY 1)
+SELECT d.query_id, vec_id, distance FROM d JOIN b ON b.query_id = d.query_id WHERE distance <= far""")
+def boundary_knn_all(t):
+    """The ten vectors nearest to each query and all as near as the tenth; the queries are all rows whose id is divisible by 20."""
+    rows = t("embeddings").select("vec_id", "embedding")
+    return R.nearest_vectors(rows, rows.where("vec_id % 20 = 0"), "vec_id", "embedding", 10).select(F.col("query").alias("query_id"), F.col("item").alias("vec_id"), "distance")
 
 
 @query("""WITH o AS (SELECT user_id, event_type, value, CAST(floor(value / 10) AS BIGINT) AS item FROM events WHERE event_type IN ('view', 'click')),

@@ -91,6 +91,28 @@ def test_ranking(spark):
     assert plan == [(1, 3, 0, 2), (2, 3, 3, 5), (3, 2, 6, 7), (4, 2, 8, 9)]
 
 
+def test_nearest_vectors_of_every_query(spark):
+    r = random.Random(7)
+    vectors = {i: [float(r.randrange(4)) for _ in range(3)] for i in range(90)}  # a coarse grid, so that many tie
+    rows = spark.createDataFrame([*vectors.items(), (90, None)], "id long, v array<float>").repartition(3)
+    expected = set()
+    for q in range(0, 90, 20):
+        far = {i: round(sum((a - b) ** 2 for a, b in zip(vectors[q], v, strict=True)) ** 0.5, 6) for i, v in vectors.items() if i != q}
+        expected |= {(q, i, d) for i, d in far.items() if d <= sorted(far.values())[3]}
+    for block in (7, 1024):
+        got = R.nearest_vectors(rows, rows.where("id % 20 = 0"), "id", "v", 4, block=block)
+        assert sorted(tuple(x) for x in got.collect()) == sorted(expected)
+    assert sorted(x.item for x in R.nearest_vectors(rows.where("id < 3"), rows.where("id = 0"), "id", "v", 10).collect()) == [1, 2]
+
+
+def test_boundary_knn_searches_every_query(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    spark.createDataFrame([(i, [float(i), 0.0]) for i in range(61)], "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = entry.queries()["boundary_knn_all"](spark, str(tmp_path)).collect()
+    assert {r.query_id for r in got} == {0, 20, 40, 60} and sorted(r.vec_id for r in got if r.query_id == 20) == [*range(15, 20), *range(21, 26)]
+
+
 def test_summaries(spark):
     n = spark.createDataFrame([(95, 100), (0, 0)], "k long, n long").select(A.wilson_lower_bound(F.col("k"), F.col("n")).alias("w")).collect()
     assert abs(n[0].w - 0.888250) < 1e-5 and n[1].w == 0

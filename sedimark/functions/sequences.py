@@ -75,8 +75,11 @@ def normal_alignment(row: Column) -> Column:
 
 
 def alignment_columns(rows: DataFrame, row: str) -> DataFrame:
-    """Per column of equally long rows: ``pos, rows, gaps, inserted``; counts are combined before they are shuffled."""
-    cells = rows.select(F.posexplode(F.split(F.col(row), "")).alias("pos", "c"))
+    """Per column: ``pos, rows, gaps, inserted``; counts are combined before they are shuffled.
+
+    Rows may differ in length: ``rows`` counts those that reach the column, so null and empty rows count in none.
+    """
+    cells = rows.select(F.posexplode(F.split(F.col(row), "")).alias("pos", "c")).where("c <> ''")
     return cells.groupBy((F.col("pos") + 1).cast("bigint").alias("pos")).agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col("c").isin(*GAPS)).alias("gaps"),
         F.bool_or((F.col("c") == ".") | F.col("c").rlike("[a-z]")).alias("inserted"))

@@ -383,10 +383,17 @@ def json_props(t):
 @query("""WITH c AS (SELECT i AS pos, substring(line, i, 1) AS c FROM raw_headers, (SELECT unnest(range(1, 41)) AS i) q WHERE length(line) >= 40)
 SELECT CAST(pos AS BIGINT) AS pos, count(*) AS rows, count(*) FILTER (WHERE c IN ('.', '-', '_', '~')) AS gaps, bool_or(c = '.' OR (c >= 'a' AND c <= 'z')) AS inserted FROM c GROUP BY 1""")
 def gap_columns(t):
-    """Per column of equally long rows, how many rows have a gap there and whether any marks an insertion."""
+    """Per column of equally long rows, how many rows have a gap there and whether any marks an insertion; gap_columns_all has whole lines."""
     return S.alignment_columns(t("raw_headers").where(F.length("line") >= 40).select(F.substring("line", 1, 40).alias("row")), "row")
 
 
+@query("""WITH c AS (SELECT i AS pos, substring(line, i, 1) AS c FROM raw_headers, (SELECT unnest(range(1, (SELECT max(length(line)) FROM raw_headers) + 1)) AS i) q WHERE length(line) >= i)
+SELECT CAST(pos AS BIGINT) AS pos, count(*) AS rows, count(*) FILTER (WHERE c IN ('.', '-', '_', '~')) AS gaps, bool_or(c = '.' OR (c >= 'a' AND c <= 'z')) AS inserted FROM c GROUP BY 1""")
+def gap_columns_all(t):
+    """gap_columns over every line to its end; ``rows`` are those that reach the column."""
+    return S.alignment_columns(t("raw_headers"), "line")
+
+
 @query("SELECT text, count(*) AS rows FROM documents WHERE text IS NOT NULL GROUP BY 1 HAVING count(*) > 1")
 def integrity_dups(t):
     return I.duplicate_keys(t("documents").where("text is not null"), ["text"])

@@ -113,6 +113,19 @@ def test_boundary_knn_searches_every_query(spark, tmp_path):
     assert {r.query_id for r in got} == {0, 20, 40, 60} and sorted(r.vec_id for r in got if r.query_id == 20) == [*range(15, 20), *range(21, 26)]
 
 
+def test_gap_columns_of_whole_lines(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    lines = ["A-" * 30 + "x", "short", "", None, "~" * 50 + ".", "AC"]
+    spark.createDataFrame([(x,) for x in lines], "line string").write.parquet(str(tmp_path / "raw_headers.parquet"))
+    got = {r.pos: (r.rows, r.gaps, r.inserted) for r in entry.queries()["gap_columns_all"](spark, str(tmp_path)).collect()}
+    expected = {}
+    for i in range(61):
+        column = [x[i] for x in lines if x and len(x) > i]
+        expected[i + 1] = (len(column), sum(c in ".-_~" for c in column), any(c == "." or "a" <= c <= "z" for c in column))
+    assert got == expected
+
+
 def test_summaries(spark):
     n = spark.createDataFrame([(95, 100), (0, 0)], "k long, n long").select(A.wilson_lower_bound(F.col("k"), F.col("n")).alias("w")).collect()
     assert abs(n[0].w - 0.888250) < 1e-5 and n[1].w == 0

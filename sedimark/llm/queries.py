@@ -11,7 +11,7 @@ from sedimark.functions.ids import canonical_sequence_id
 from sedimark.llm.bpe import decode_ids, encode_corpus
 from sedimark.llm.leakage import leaked_passages, without_leaks
 from sedimark.llm.split import split_oversized
-from sedimark.llm.survivors import Field, merged_records, survivors
+from sedimark.llm.survivors import Field, all_records, merged_records, survivors
 from sedimark.llm.topn import top_n
 from sedimark.llm.vocabulary import FOLDER
 from sedimark.storage import table
@@ -50,12 +50,12 @@ def _like(column: str, pattern: str):
 SURVIVOR_FIELDS = ["taxonomy_source", "assignment_method", "cross_domain_conflict"]
 
 
-def _survivors(spark: SparkSession, folder: str) -> DataFrame:
+def _survivors(spark: SparkSession, folder: str, operator=survivors) -> DataFrame:
     method = _tidy("assignment_method")
     rank = F.coalesce(F.array_position(F.array(*[F.lit(m) for m in TRUSTED]), method), F.lit(0))
     latest = F.col("loaded_at").cast("timestamp_ntz")
     age = F.timestamp_diff("MICROSECOND", latest, F.lit("2000-01-01 00:00:00").cast("timestamp_ntz"))  # smaller is later
-    return survivors(
+    return operator(
         table(spark, folder, "preferred_taxonomy"),
         canonical_sequence_id(F.col("sequence_id")),
         [
@@ -75,6 +75,11 @@ def p5_survivors(spark: SparkSession, folder: str) -> DataFrame:
     return merged_records(_survivors(spark, folder), SURVIVOR_FIELDS).withColumnRenamed("key", "sequence_id")
 
 
+def p5_records(spark: SparkSession, folder: str) -> DataFrame:
+    """One row for every sequence_id; p5_survivors has only those of two or more rows and some value."""
+    return _survivors(spark, folder, all_records).withColumnRenamed("key", "sequence_id")
+
+
 def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode_corpus(table(spark, folder, "documents"), VOCABULARY)
 
@@ -104,7 +109,7 @@ def p8_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return split_oversized(table(spark, folder, "documents"), VOCABULARY, LIMIT, OVERLAP)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_ranked, p5_found, p5_survivors, p6_ids, p6_round_trip, p7_found, p7_passages, p7_clean, p8_pieces)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_ranked, p5_found, p5_survivors, p5_records, p6_ids, p6_round_trip, p7_found, p7_passages, p7_clean, p8_pieces)}
 
 _RANKED = (
     "WITH p AS (SELECT query, subject, max(bit_score) AS bit_score FROM blast_hits WHERE trim(query) <> '' AND trim(subject) <> '' AND isfinite(bit_score) GROUP BY query, subject), "
@@ -121,6 +126,7 @@ _CHOSEN = (
     "UNION ALL SELECT sequence_id, 'cross_domain_conflict', c, trust, loaded_at, row_id FROM g), "
     "w AS (SELECT *, row_number() OVER (PARTITION BY sequence_id, field_name ORDER BY trust, loaded_at DESC NULLS LAST, row_id) AS k FROM u WHERE value IS NOT NULL) "
 )
+_EVERY = _CHOSEN.replace("sequence_id IN (SELECT sequence_id FROM t GROUP BY sequence_id HAVING count(*) > 1)", "sequence_id IS NOT NULL")
 
 ORACLES = {
     "p1_found": _RANKED + "SELECT query, subject FROM r WHERE position <= 5",
@@ -128,5 +134,7 @@ ORACLES = {
     "p5_found": _CHOSEN + "SELECT sequence_id, field_name, row_id FROM w WHERE k = 1",
     "p5_survivors": _CHOSEN + "SELECT sequence_id, max(CASE WHEN field_name = 'taxonomy_source' THEN value END) AS taxonomy_source, max(CASE WHEN field_name = 'assignment_method' THEN value END) AS assignment_method, "
     "max(CASE WHEN field_name = 'cross_domain_conflict' THEN value END) AS cross_domain_conflict FROM w WHERE k = 1 GROUP BY sequence_id",
+    "p5_records": _EVERY + "SELECT s.sequence_id, max(CASE WHEN field_name = 'taxonomy_source' THEN value END) AS taxonomy_source, max(CASE WHEN field_name = 'assignment_method' THEN value END) AS assignment_method, "
+    "max(CASE WHEN field_name = 'cross_domain_conflict' THEN value END) AS cross_domain_conflict FROM (SELECT DISTINCT sequence_id FROM g) s LEFT JOIN (SELECT * FROM w WHERE k = 1) v ON v.sequence_id = s.sequence_id GROUP BY s.sequence_id",
     "p6_round_trip": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
 }

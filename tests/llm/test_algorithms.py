@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from sedimark.llm.survivors import Field, consensus_index, merged_records, progressive_alignment, survivors
+from sedimark.llm.survivors import Field, all_records, consensus_index, merged_records, progressive_alignment, survivors
 from sedimark.llm.topn import top_n
 
 
@@ -50,3 +50,24 @@ def test_survivors(spark):
     by_rows = survivors(df, F.col("k"), fields, [F.col("trust")], vote="rows")
     assert ("g", "a", 4, "y") in [tuple(r) for r in by_rows.collect()]
     assert survivors(df.limit(0), F.col("k"), fields, [F.col("trust")]).count() == 0
+
+
+def test_all_records_keeps_single_rows_and_groups_without_values(spark):
+    schema = "row_id long, k string, trust int, a string, b boolean"
+    rows = [(1, "g", 2, "x", None), (2, "g", 1, None, None), (3, "g", 3, "y", True), (4, "single", 1, "x", True), (5, "hole", 1, None, None), (6, None, 1, "x", True), (7, "none", 1, None, None), (8, "none", 1, None, None)]
+    df = spark.createDataFrame(rows, schema)
+    fields = [Field("a", F.col("a")), Field("b", F.col("b").cast("string"))]
+    got = sorted(tuple(r) for r in all_records(df, F.col("k"), fields, [F.col("trust")]).collect())
+    assert got == [("g", "x", "true"), ("hole", None, None), ("none", None, None), ("single", "x", "true")]
+    assert all_records(df.limit(0), F.col("k"), fields, [F.col("trust")]).count() == 0
+
+
+def test_p5_records_has_every_sequence(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    one, two, three = ("SSU_" + c * 43 for c in "abc")
+    rows = [(1, one, "SILVA", "native", True), (2, f" ssu_{two[4:]} ", "?", "", None), (3, two, None, None, None), (4, three, "PR2", "native", False), (5, three, "SILVA", "other", True), (6, "no id", "PR2", "native", True)]
+    df = spark.createDataFrame(rows, "row_id long, sequence_id string, taxonomy_source string, assignment_method string, cross_domain_conflict boolean")
+    df.withColumn("loaded_at", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")).write.parquet(str(tmp_path / "preferred_taxonomy.parquet"))
+    got = {r.sequence_id: (r.taxonomy_source, r.assignment_method, r.cross_domain_conflict) for r in entry.queries()["p5_records"](spark, str(tmp_path)).collect()}
+    assert got == {one: ("silva", "native", "true"), two: (None, None, None), three: ("pr2", "native", "false")}

@@ -365,10 +365,17 @@ def median_summary(t):
 
 @query("""SELECT doc_id, reverse(translate(substring(text, 11, 60), 'ACGTUacgtu', 'TGCAAtgcaa')) AS piece FROM documents WHERE length(text) >= 70""")
 def substr_revcomp(t):
-    """Positions 11 to 70 of each text, reverse complemented."""
+    """Positions 11 to 70 of each text, reverse complemented; revcomp_texts has whole texts."""
     return t("documents").where(F.length("text") >= 70).select("doc_id", S.reverse_complement(S.interval(F.col("text"), F.lit(11), F.lit(70)), "ACGTUacgtu", "TGCAAtgcaa").alias("piece"))
 
 
+@query("""SELECT doc_id, translate(array_to_string(list_reverse(regexp_extract_all(text, '(?s).')), ''), 'ACGTUacgtu', 'TGCAAtgcaa') AS piece FROM documents WHERE text IS NOT NULL""")
+def revcomp_texts(t):
+    """Every text from its first to its last position, reverse complemented."""
+    whole = S.interval(F.col("text"), F.lit(1), F.length("text"))
+    return t("documents").where("text is not null").select("doc_id", S.reverse_complement(whole, "ACGTUacgtu", "TGCAAtgcaa").alias("piece"))
+
+
 @query("""SELECT token, count(*) AS rows FROM (SELECT unnest(string_split_regex(centroid_name, '[-_;]')) AS token FROM taxonomy_assignments WHERE centroid_name IS NOT NULL) WHERE token <> '' GROUP BY 1""")
 def tokenise_regex(t):
     tokens = t("taxonomy_assignments").select(F.explode(S.tokens(F.col("centroid_name"))).alias("token"))

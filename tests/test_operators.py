@@ -126,6 +126,15 @@ def test_gap_columns_of_whole_lines(spark, tmp_path):
     assert got == expected
 
 
+def test_revcomp_of_whole_texts(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    texts = ["ACGU" * 40 + "é", "short", "", None, "x\r\nA\U0001f9ec"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.piece for r in entry.queries()["revcomp_texts"](spark, str(tmp_path)).collect()}
+    assert got == {i: x.translate(str.maketrans("ACGTUacgtu", "TGCAAtgcaa"))[::-1] for i, x in enumerate(texts) if x is not None}
+
+
 def test_summaries(spark):
     n = spark.createDataFrame([(95, 100), (0, 0)], "k long, n long").select(A.wilson_lower_bound(F.col("k"), F.col("n")).alias("w")).collect()
     assert abs(n[0].w - 0.888250) < 1e-5 and n[1].w == 0

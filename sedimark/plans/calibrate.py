@@ -17,6 +17,7 @@ def candidates(hits: DataFrame, targets: int = TARGETS) -> DataFrame:
     """Hits within the window of the best well-covered hit, with ``truncated``: whether raw hit ``targets + 1`` is in it too.
 
     Coverage is tested before the best score is chosen, the sentinel before coverage; scores are exact decimals.
+    ``targets`` places the sentinel only: hits beyond it are candidates like any other.
     """
     raw = Window.partitionBy("query").orderBy(F.desc("bit_score"), F.desc("percent_identity"), F.desc("alignment_length"), "subject")
     whole = Window.partitionBy("query")
@@ -24,7 +25,7 @@ def candidates(hits: DataFrame, targets: int = TARGETS) -> DataFrame:
     rows = hits.withColumn("n", F.row_number().over(raw)).withColumn("best", F.max(F.when(eligible, F.col("bit_score"))).over(whole))
     threshold = F.col("best") * F.lit(FRACTION).cast("decimal(3,2)")
     rows = rows.withColumn("threshold", threshold).withColumn("sentinel", F.max(F.when(F.col("n") == targets + 1, F.col("bit_score"))).over(whole))
-    return rows.where(eligible & (F.col("bit_score") >= F.col("threshold")) & (F.col("n") <= targets)).withColumn("truncated", F.coalesce(F.col("sentinel") >= F.col("threshold"), F.lit(False))).drop("n", "best", "sentinel")
+    return rows.where(eligible & (F.col("bit_score") >= F.col("threshold"))).withColumn("truncated", F.coalesce(F.col("sentinel") >= F.col("threshold"), F.lit(False))).drop("n", "best", "sentinel")
 
 
 def leave_one_out(hits: DataFrame, taxonomy: DataFrame, targets: int = TARGETS) -> DataFrame:

@@ -124,6 +124,23 @@ def test_calibration(spark):
     assert calibrate.member_assignments(out).count() == 3
 
 
+def test_hits_beyond_the_targets_are_candidates(spark):
+    def hits(*subjects):
+        return spark.createDataFrame([("q", s, i) for i, s in enumerate(subjects)], "query string, subject string, i int").select(
+            "query", "subject", F.lit(100).cast("decimal(18,6)").alias("bit_score"), F.lit(90).cast("decimal(18,6)").alias("query_coverage"), (100 - F.col("i")).alias("percent_identity"), F.lit(10).alias("alignment_length"))
+
+    taxonomy = spark.createDataFrame([("a", "B;P;C", "B", "SILVA"), ("b", "B;P;D", "B", "SILVA"), ("other", "A;P", "A", "SILVA"), ("vague", "", "ambiguous", "SILVA")], "sequence_id string, taxonomy string, domain string, taxonomy_source string")
+    caps = spark.createDataFrame([("16S", "SILVA", "B", 1)], "marker string, taxonomy_source string, domain string, cap long")
+    clusters = spark.createDataFrame([("k", "q", ["IMG_1"])], "cluster_id string, centroid string, members array<string>")
+    for last, reason in (("b", "assigned"), ("other", "no_common_domain"), ("vague", "ambiguous_reference_taxonomy"), ("unknown", "missing_reference_taxonomy")):
+        rows = hits("a", "b", last) if last != "b" else hits("a", "b")
+        targets = 2 if last != "b" else 1
+        out = calibrate.classified_clusters(clusters, rows, taxonomy, caps, "16S", targets).collect()
+        assert [(r.reason, r.taxonomy) for r in out] == [(reason, "B" if reason == "assigned" else "")]
+        assert calibrate.candidates(rows, targets).count() == targets + 1
+    assert [r.predicted for r in calibrate.leave_one_out(hits("a", "b", "other"), taxonomy, 2).collect()] == [[]]
+
+
 def test_release_details(spark):
     rows = spark.createDataFrame([("s", "n2", "B;P;C", "SILVA+PR2"), ("s", "n1", "B;P;D", "SILVA"), ("s", "", "", ""), ("t", None, None, None)], "sequence_id string, centroid_name string, centroid_taxonomy string, centroid_taxonomy_source string")
     got = {r.sequence_id: tuple(r)[1:] for r in release.centroid_summary(rows).collect()}

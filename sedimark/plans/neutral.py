@@ -434,8 +434,10 @@ def region_collinear(t):
 
 @query()
 def newick_distance(t):
-    """Trees made of each region's nations: the distance of every leaf from the first; not SQL."""
-    leaves = t("nation").groupBy("n_regionkey").agg(F.array_sort(F.collect_list("n_nationkey")).alias("k"))
-    nested = F.aggregate(F.slice("k", 2, 1000), F.concat(F.lit("n"), F.get("k", 0).cast("string"), F.lit(":1.5")), lambda acc, x: F.concat(F.lit("("), acc, F.lit(",n"), x.cast("string"), F.lit(":0.25)90:0.5")))
-    trees = leaves.select(F.col("n_regionkey").alias("tree"), F.concat(nested, F.lit(";")).alias("newick"), F.concat(F.lit("n"), F.get("k", 0).cast("string")).alias("query"))
-    return T.leaf_distances(trees, "tree", "newick", "query")
+    """Trees made of each nation's suppliers: the distance of every leaf from the first; not SQL."""
+    leaves = t("supplier").groupBy("s_nationkey").agg(F.array_sort(F.collect_list("s_suppkey")).alias("k"))
+    first = F.concat(F.lit("n"), F.get("k", 0).cast("string"))
+    others = F.transform(F.slice("k", F.lit(2), F.size("k")), lambda x: F.concat(F.lit(",n"), x.cast("string"), F.lit(":0.25)90:0.5")))
+    # one leaf deeper each time; written in one go, as nesting text in text would copy it for every leaf
+    newick = F.concat(F.repeat(F.lit("("), F.size("k") - 1), first, F.lit(":1.5"), F.array_join(others, ""), F.lit(";"))
+    return T.leaf_distances(leaves.select(F.col("s_nationkey").alias("tree"), newick.alias("newick"), first.alias("query")), "tree", "newick", "query")

@@ -161,3 +161,12 @@ def test_trees(spark):
     references = spark.createDataFrame([("b c", "", "PR2", "x"), ("c", "B;P;C", "SILVA", ""), ("d", "B;P;D", "PR2", "plastid")], "leaf string, lineage string, source string, compartment string")
     got = classify_by_neighbours(leaf_distances(trees, "t", "newick", "query"), references, 2).collect()
     assert [tuple(r) for r in got] == [(1, "B;P", "PR2|SILVA", "plastid", 2)]
+
+
+def test_newick_distance_reaches_every_leaf(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    rows = [(i, 1) for i in range(1500)] + [(2000, 2), (2001, 2), (3000, 3)]
+    spark.createDataFrame(rows, "s_suppkey long, s_nationkey int").write.parquet(str(tmp_path / "supplier.parquet"))
+    got = sorted(tuple(r) for r in entry.queries()["newick_distance"](spark, str(tmp_path)).collect())
+    assert got == sorted([(1, f"n{i}", 1.75 + 0.5 * (i - 1), "90") for i in range(1, 1500)] + [(2, "n2001", 1.75, "90")])

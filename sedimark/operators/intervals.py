@@ -108,16 +108,6 @@ def collinear(fragments: Column, model_from: str = "model_from", model_to: str =
     return one & distinct("m") & distinct("s") & (along("m") == along("s"))
 
 
-def collinear_points(points: Column, strand: str = "strand") -> Column:
-    """collinear of fragments that are one point each, with fields ``model_from`` and ``seq_from``."""
-    sign = F.when(F.get(points, 0)[strand] == "-", -1).otherwise(1)
-    ends = F.transform(points, lambda f: F.struct(f["model_from"].cast("bigint").alias("m"), (f["seq_from"] * sign).cast("bigint").alias("s")))
-    one = F.size(F.array_distinct(F.transform(points, lambda f: f[strand]))) == 1
-    along = lambda a, b: F.array_sort(F.transform(ends, lambda x: F.struct(x[a].alias("v"), x[b].alias("w"))))
-    distinct = lambda f: F.size(F.array_distinct(F.transform(ends, lambda x: x[f]))) == F.size(ends)
-    return one & distinct("m") & distinct("s") & (F.transform(along("m", "s"), lambda x: x["v"]) == F.transform(along("s", "m"), lambda x: x["w"]))
-
-
 def extraction_regions(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Regions to cut out of each subject, from columns ``model_from, model_to, model_length, seq_from, seq_to, strand``.
 

@@ -427,9 +427,25 @@ e AS (SELECT l_orderkey, CAST(l_partkey AS BIGINT) AS m, CAST(l_suppkey AS BIGIN
 g AS (SELECT l_orderkey, count(*) AS n, count(DISTINCT m) AS dm, count(DISTINCT s) AS ds, count(DISTINCT strand) AS strands, list(m ORDER BY m, s) AS by_m, list(m ORDER BY s, m) AS by_s FROM e GROUP BY 1)
 SELECT l_orderkey, strands = 1 AND dm = n AND ds = n AND by_m = by_s AS collinear FROM g""")
 def region_collinear(t):
-    """Whether the rows of an order come in the same order by part and by supplier."""
-    f = F.struct(F.col("l_partkey").alias("model_from"), F.col("l_suppkey").alias("seq_from"), F.when(F.col("l_returnflag") == "R", "-").otherwise("+").alias("strand"))
-    return t("lineitem").groupBy("l_orderkey").agg(F.collect_list(f).alias("f")).select("l_orderkey", V.collinear_points(F.col("f")).alias("collinear"))
+    """Whether the rows of an order come in the same order by part and by supplier; each is two places long on either axis."""
+    return _collinear(t, F.col("l_partkey") * 2, F.lit(1), F.col("l_suppkey") * 2, F.lit(1))
+
+
+@query("""WITH f AS (SELECT l_orderkey, CAST(l_partkey AS BIGINT) AS m, CAST(l_quantity AS BIGINT) AS dm, CAST(l_suppkey AS BIGINT) * CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END AS s, CAST(l_linenumber AS BIGINT) AS ds, l_returnflag = 'R' AS minus FROM lineitem),
+e AS (SELECT l_orderkey, m, CASE WHEN minus THEN s - ds ELSE s END AS s, minus FROM f UNION ALL SELECT l_orderkey, m + dm, CASE WHEN minus THEN s ELSE s + ds END, minus FROM f),
+g AS (SELECT l_orderkey, count(*) AS n, count(DISTINCT m) AS dm, count(DISTINCT s) AS ds, count(DISTINCT minus) AS strands, list(m ORDER BY m, s) AS by_m, list(m ORDER BY s, m) AS by_s FROM e GROUP BY 1)
+SELECT l_orderkey, strands = 1 AND dm = n AND ds = n AND by_m = by_s AS collinear FROM g""")
+def region_collinear_ends(t):
+    """region_collinear of rows as long as their quantity by part and as their line number by supplier, so that rows may overlap or enclose each other."""
+    return _collinear(t, F.col("l_partkey"), F.col("l_quantity").cast("bigint"), F.col("l_suppkey"), F.col("l_linenumber"))
+
+
+def _collinear(t, model, model_length, seq, seq_length) -> DataFrame:
+    """Whether the rows of an order, as fragments with two ends, are collinear; on the minus strand the sequence runs from the greater end."""
+    minus = F.col("l_returnflag") == "R"
+    f = F.struct(model.alias("model_from"), (model + model_length).alias("model_to"), F.when(minus, seq + seq_length).otherwise(seq).alias("seq_from"),
+                 F.when(minus, seq).otherwise(seq + seq_length).alias("seq_to"), F.when(minus, "-").otherwise("+").alias("strand"))
+    return t("lineitem").groupBy("l_orderkey").agg(F.collect_list(f).alias("f")).select("l_orderkey", V.collinear(F.col("f")).alias("collinear"))
 
 
 @query()

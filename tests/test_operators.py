@@ -170,3 +170,15 @@ def test_newick_distance_reaches_every_leaf(spark, tmp_path):
     spark.createDataFrame(rows, "s_suppkey long, s_nationkey int").write.parquet(str(tmp_path / "supplier.parquet"))
     got = sorted(tuple(r) for r in entry.queries()["newick_distance"](spark, str(tmp_path)).collect())
     assert got == sorted([(1, f"n{i}", 1.75 + 0.5 * (i - 1), "90") for i in range(1, 1500)] + [(2, "n2001", 1.75, "90")])
+
+
+def test_region_collinear_sees_both_ends(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    rows = [("apart", 1, 5, 1, 1, "N"), ("apart", 10, 5, 5, 2, "N"), ("enclosed", 1, 20, 1, 1, "N"), ("enclosed", 10, 5, 5, 2, "N"), ("same end", 1, 14, 1, 1, "N"), ("same end", 10, 5, 5, 2, "N"),
+            ("minus", 1, 5, 9, 1, "R"), ("minus", 10, 5, 5, 2, "R"), ("crossed", 1, 5, 5, 1, "R"), ("crossed", 10, 5, 9, 2, "R"), ("strands", 1, 5, 1, 1, "N"), ("strands", 10, 5, 5, 2, "R")]
+    spark.createDataFrame(rows, "l_orderkey string, l_partkey long, l_quantity int, l_suppkey long, l_linenumber int, l_returnflag string").write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = {r.l_orderkey: r.collinear for r in entry.queries()["region_collinear_ends"](spark, str(tmp_path)).collect()}
+    assert got == {"apart": True, "enclosed": False, "same end": False, "minus": True, "crossed": False, "strands": False}
+    got = {r.l_orderkey: r.collinear for r in entry.queries()["region_collinear"](spark, str(tmp_path)).collect()}
+    assert got == {"apart": True, "enclosed": True, "same end": True, "minus": True, "crossed": False, "strands": False}

@@ -27,10 +27,10 @@ def docs(spark, texts):
     return spark.createDataFrame([(i, t, "clash", "clash", 1) for i, t in enumerate(texts)], DOCS)
 
 
-@pytest.mark.parametrize("frequent", [4, 1000])
-def test_encoding_and_round_trip(spark, encoding, frequent):
-    texts = [*TEXTS, *TEXTS[4:6]]
-    out = encode_corpus(docs(spark, texts), VOCABULARY, frequent=frequent)
+@pytest.mark.parametrize("block_chars, merges", [(1, 5), (1000, 110), (10**9, 10**6)])
+def test_encoding_and_round_trip(spark, encoding, block_chars, merges):
+    texts = [*TEXTS, *TEXTS[4:6], "NNACGUUGCATTT ACCCGGGTTT  AAAAAAAA 0001203 1999 20240131 7", "NN" * 90 + " 9" * 70]
+    out = encode_corpus(docs(spark, texts), VOCABULARY, block_chars=block_chars, merges=merges)
     rows = out.select("doc_id", "ids", decode_ids(F.col("ids"), VOCABULARY).alias("back")).collect()
     assert {r.doc_id: list(r.ids) for r in rows} == {i: encoding.encode_ordinary(t or "") for i, t in enumerate(texts)}
     assert {r.doc_id: r.back for r in rows} == {i: t or "" for i, t in enumerate(texts)}

@@ -33,7 +33,7 @@ WORD = "(?U)" + PATTERN  # \s as Unicode has it
 # Letters of words that are folded merge by merge, with or without a space before them.  They decide nothing but speed.
 NUCLEOTIDES, NUMBERS = "ACGTUN", "0123456789"
 MERGES = 110  # merges of an alphabet folded over all its words; what is left is folded word by word
-BLOCK_CHARS = 32_000_000  # text whose distinct words are encoded together, at least one batch of documents
+BLOCK_CHARS = 12_000_000  # text whose distinct words are encoded together, at least one batch of documents
 
 
 def merge_pairs(ranks: dict[bytes, int]) -> dict[tuple[int, int], int]:

@@ -43,6 +43,12 @@ def sequence_key(column: Column) -> Column:
     )
 
 
+def sequence_id_of(key: Column) -> Column:
+    """The canonical sequence id whose sequence_key is ``key``."""
+    digits = F.substring(F.translate(F.base64(F.substring(key, 1, 32)), "+/", "-_"), 1, 42)
+    return F.concat(F.lit("SSU_"), digits, F.decode(F.substring(key, 33, 1), "utf-8"))
+
+
 def record_key(column: Column) -> Column:
     """The record id as a big-endian integer of 32 bytes."""
     return F.unhex(_found(column, RECORD_PATTERN))

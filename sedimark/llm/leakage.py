@@ -1,30 +1,34 @@
 """Evaluation texts that leak into training text, by suffix arrays of the training text.
 
-Every shard of the corpus gets the suffix array of its words.  All suffixes of
-all test items are binary-searched in it at once; what they find are the exact
-places where at least ``least`` words run verbatim, from which the longest match
-of each document and item follows.
+The corpus is read once and packed into shards of bounded size, each with its
+distinct words and the places where they stand.  The test items are packed into
+blocks of bounded size in the shared folder, and every shard meets every block:
+the shard gets the suffix array of its words, all suffixes of all items of the
+block are binary-searched in it at once, and what they find are the exact places
+where at least ``least`` words run verbatim, from which the longest match of each
+document and item follows.
 
 The arrays are sparse without losing anything: a word of the corpus that no test
 item contains cannot be part of a match, so only positions followed by ``least``
 words of the items' vocabulary can start one, and only those are sorted.
 
-The test items travel to the shards as they are, in blocks of bounded size, so
-their number is not limited by memory.  The corpus is never shuffled.
+No item and no document passes through the driver, and nothing is shuffled but
+the test items.
 """
 
 from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_CHARS = 32_000_000  # test text sent along at once
+from sedimark.storage import materialize
+
+BLOCK_CHARS = 4_000_000  # test text that meets a shard at once, at least one item
 SHARD_CHARS = 8_000_000  # training text per suffix array, at least one document
 BREAK = 0  # the code of words that no test item contains
 
@@ -157,19 +161,20 @@ def matches(doc_ids: np.ndarray, coded: list[np.ndarray], items: Items, least: i
 SCHEMA = "doc_id bigint, item_id bigint, words int, doc_word int, item_word int"
 
 
-def _scan(block: list[tuple[int, str]], least: int):
+def _shards(least: int):
+    """Scan of the corpus: a row per shard with its documents' sizes, its distinct words and their places."""
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = Items(block, least)
-        schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("words", pa.int32()), ("doc_word", pa.int32()), ("item_word", pa.int32())])
-        code = items.vocabulary.get
         ids: list[int] = []
-        coded: list[np.ndarray] = []
-        size = 0
+        sizes: list[int] = []
+        places: list[np.ndarray] = []
+        known: dict[str, int] = {}
+        chars = 0
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            found = matches(np.array(ids, np.int64), coded, items, least) if coded else []
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), schema.types, strict=True)], schema=schema)
+        def flush() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([
+                pa.array([ids], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int32())), pa.array([np.concatenate(places).tobytes()], pa.binary()),
+                pa.array([list(known)], pa.list_(pa.string()))], names=["doc_ids", "sizes", "places", "dictionary"])
 
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
@@ -178,17 +183,63 @@ def _scan(block: list[tuple[int, str]], least: int):
                 if len(found) < least:
                     continue
                 ids.append(doc_id)
-                coded.append(np.fromiter((code(w, BREAK) for w in found), np.int32, len(found)))
-                size += len(text)
-                if size >= SHARD_CHARS:
-                    yield from flush()
-                    ids, coded, size = [], [], 0
-        yield from flush()
+                sizes.append(len(found))
+                places.append(np.fromiter((known.setdefault(w, len(known)) for w in found), np.int32, len(found)))
+                chars += len(text)
+                if chars >= SHARD_CHARS:
+                    yield flush()
+                    ids, sizes, places, known, chars = [], [], [], {}, 0
+        if ids:
+            yield flush()
+
+    return scan
+
+
+def _blocks(block_chars: int):
+    """Scan of the test items: a row per block of them."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, texts, chars = [], [], 0
+        flush = lambda: pa.RecordBatch.from_arrays([pa.array([ids], pa.list_(pa.int64())), pa.array([texts], pa.list_(pa.string()))], names=["item_ids", "texts"])
+        for batch in batches:
+            for i, t in zip(batch.column("i").to_pylist(), batch.column("t").to_pylist(), strict=True):
+                ids.append(i)
+                texts.append(t)
+                chars += len(t)
+                if chars >= block_chars:
+                    yield flush()
+                    ids, texts, chars = [], [], 0
+        if ids:
+            yield flush()
 
     return scan
 
 
-def leaked_passages(documents: DataFrame, items: DataFrame, least: int = 12, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+def _meet(least: int):
+    """Scan of shards with blocks: their matches."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("words", pa.int32()), ("doc_word", pa.int32()), ("item_word", pa.int32())])
+        held: tuple[list, Items] | None = None
+        for batch in batches:
+            for row in range(batch.num_rows):
+                of = lambda name: batch.column(name)[row]  # noqa: B023, E731
+                item_ids = of("item_ids").as_py()
+                if held is None or held[0] != item_ids:  # the same block mostly comes again with the next shard
+                    held = item_ids, Items(list(zip(item_ids, of("texts").as_py(), strict=True)), least)
+                items = held[1]
+                dictionary = of("dictionary").as_py()
+                code = np.fromiter((items.vocabulary.get(w, BREAK) for w in dictionary), np.int32, len(dictionary))
+                edges = np.cumsum(of("sizes").values.to_numpy())
+                coded = np.split(code[np.frombuffer(of("places").as_py(), np.int32)], edges[:-1])
+                found = matches(of("doc_ids").values.to_numpy(), coded, items, least)
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), schema.types, strict=True)], schema=schema)
+
+    return scan
+
+
+def leaked_passages(documents: DataFrame, items: DataFrame, least: int = 12, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Documents that hold ``least`` or more consecutive words of a test item, with the longest such run.
 
     Columns: ``doc_id, item_id, words`` (length of the longest run), ``doc_word, item_word`` (where it starts, from 1;
@@ -201,20 +252,16 @@ def leaked_passages(documents: DataFrame, items: DataFrame, least: int = 12, doc
     """
     tests = items.select(F.col(item_id).cast("bigint").alias("i"), F.col(item_text).alias("t")).where("i is not null and t is not null")
     corpus = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null and text is not null")
-    found: list[DataFrame] = []
-    block: list[tuple[int, str]] = []
-    size = 0
-    for row in tests.orderBy("i").toLocalIterator():  # one partition at a time; a block is bounded by BLOCK_CHARS
-        block.append((row.i, row.t))
-        size += len(row.t)
-        if size >= BLOCK_CHARS:
-            found.append(corpus.mapInArrow(_scan(block, least), SCHEMA))
-            block, size = [], 0
-    if block or not found:
-        found.append(corpus.mapInArrow(_scan(block, least), SCHEMA))
-    return reduce(DataFrame.unionByName, found)
+    # written once, so that its size is known: Spark broadcasts it below its own threshold and streams it beyond
+    blocks = materialize(tests.repartition("i").mapInArrow(_blocks(block_chars), "item_ids array<bigint>, texts array<string>"), "test-items")
+    shards = corpus.mapInArrow(_shards(least), "doc_ids array<bigint>, sizes array<int>, places binary, dictionary array<string>")
+    return shards.crossJoin(blocks).mapInArrow(_meet(least), SCHEMA)
 
 
 def without_leaks(documents: DataFrame, leaks: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """The documents that hold no passage of a test item."""
+    """The documents, all columns of them, that hold no passage of a test item.
+
+    Spark sends the leaking ids along while they are few, so that texts stay where they are; beyond its threshold both
+    sides are shuffled by id.  Documents without an id are kept, as no leak can name them.
+    """
     return documents.join(leaks.select(F.col("doc_id").alias(doc_id)).distinct(), doc_id, "left_anti")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sedimark.functions.ids import canonical_sequence_id
+from sedimark.functions.ids import sequence_id_of, sequence_key
 from sedimark.llm.bpe import decode_ids, encode_corpus
 from sedimark.llm.leakage import leaked_passages, without_leaks
 from sedimark.llm.split import split_oversized
@@ -50,34 +50,47 @@ def _like(column: str, pattern: str):
 SURVIVOR_FIELDS = ["taxonomy_source", "assignment_method", "cross_domain_conflict"]
 
 
+def _trust() -> list:
+    rank = F.coalesce(F.array_position(F.array(*[F.lit(m) for m in TRUSTED]), _tidy("assignment_method")), F.lit(0))
+    age = F.timestamp_diff("MICROSECOND", F.col("loaded_at").cast("timestamp_ntz"), F.lit("2000-01-01 00:00:00").cast("timestamp_ntz"))  # smaller is later
+    return [F.when(rank == 0, len(TRUSTED) + 1).otherwise(rank).cast("int"), F.coalesce(age, F.lit(2**62))]
+
+
 def _survivors(spark: SparkSession, folder: str, operator=survivors) -> DataFrame:
-    method = _tidy("assignment_method")
-    rank = F.coalesce(F.array_position(F.array(*[F.lit(m) for m in TRUSTED]), method), F.lit(0))
-    latest = F.col("loaded_at").cast("timestamp_ntz")
-    age = F.timestamp_diff("MICROSECOND", latest, F.lit("2000-01-01 00:00:00").cast("timestamp_ntz"))  # smaller is later
     return operator(
         table(spark, folder, "preferred_taxonomy"),
-        canonical_sequence_id(F.col("sequence_id")),
+        sequence_key(F.col("sequence_id")),
         [
             Field("taxonomy_source", _like("taxonomy_source", SOURCES)),
             Field("assignment_method", _among("assignment_method", METHODS)),
             Field("cross_domain_conflict", F.col("cross_domain_conflict").cast("string")),
         ],
-        [F.when(rank == 0, len(TRUSTED) + 1).otherwise(rank), F.coalesce(age, F.lit(2**62))],
+        _trust(),
     )
 
 
+def _sequence_id():
+    return sequence_id_of(F.col("key")).alias("sequence_id")
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
-    return _survivors(spark, folder).select(F.col("key").alias("sequence_id"), "field_name", "row_id")
+    return _survivors(spark, folder).select(_sequence_id(), "field_name", "row_id")
 
 
 def p5_survivors(spark: SparkSession, folder: str) -> DataFrame:
-    return merged_records(_survivors(spark, folder), SURVIVOR_FIELDS).withColumnRenamed("key", "sequence_id")
+    return merged_records(_survivors(spark, folder), SURVIVOR_FIELDS).select(_sequence_id(), *SURVIVOR_FIELDS)
 
 
 def p5_records(spark: SparkSession, folder: str) -> DataFrame:
     """One row for every sequence_id; p5_survivors has only those of two or more rows and some value."""
-    return _survivors(spark, folder, all_records).withColumnRenamed("key", "sequence_id")
+    return _survivors(spark, folder, all_records).select(_sequence_id(), *SURVIVOR_FIELDS)
+
+
+def p5_consensus(spark: SparkSession, folder: str) -> DataFrame:
+    """The taxonomy path closest to the consensus of each sequence_id with two or more rows, every row with one vote; not SQL."""
+    path = F.when(F.col("taxonomy").rlike(r"(?U)\S"), F.trim("taxonomy"))
+    chosen = survivors(table(spark, folder, "preferred_taxonomy"), sequence_key(F.col("sequence_id")), [Field("taxonomy", path)], _trust(), vote="rows")
+    return chosen.select(_sequence_id(), "field_name", "row_id", "value")
 
 
 def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
@@ -102,14 +115,30 @@ def p7_passages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p7_clean(spark: SparkSession, folder: str) -> DataFrame:
-    return without_leaks(table(spark, folder, "documents"), _leaks(spark, folder)).select("doc_id", "lang", "source")
+    return without_leaks(table(spark, folder, "documents"), _leaks(spark, folder)).select("doc_id", "text")
 
 
 def p8_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return split_oversized(table(spark, folder, "documents"), VOCABULARY, LIMIT, OVERLAP)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_ranked, p5_found, p5_survivors, p5_records, p6_ids, p6_round_trip, p7_found, p7_passages, p7_clean, p8_pieces)}
+def p8_joined(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text put together again from its pieces without what they share with the piece before."""
+    pieces = p8_pieces(spark, folder)
+    before = F.coalesce(F.lag("end").over(Window.partitionBy("doc_id").orderBy("piece")), F.lit(0))
+    own = pieces.select("doc_id", "piece", F.substring("text", before - F.col("start") + 1, F.length("text")).alias("own"))
+    parts = F.array_sort(F.collect_list(F.struct("piece", "own")))  # the pieces of one text
+    return own.groupBy("doc_id").agg(F.array_join(F.transform(parts, lambda x: x["own"]), "").alias("text"))
+
+
+def p8_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    """How many pieces are within the limit, how many begin anew, and how near the overlaps come to the one wanted."""
+    pieces = p8_pieces(spark, folder)
+    kind = F.when(F.col("piece") == 1, "first").when(F.col("overlap") == 0, "none").when(F.abs(F.col("overlap") - OVERLAP) <= OVERLAP // 4, "near").otherwise("far")
+    return pieces.groupBy(kind.alias("overlap")).agg(F.count(F.lit(1)).alias("pieces"), F.count_if(F.col("tokens") > LIMIT).alias("above_limit"), F.min("overlap").alias("least"), F.max("overlap").alias("most"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_ranked, p5_found, p5_survivors, p5_records, p5_consensus, p6_ids, p6_round_trip, p7_found, p7_passages, p7_clean, p8_pieces, p8_joined, p8_sizes)}
 
 _RANKED = (
     "WITH p AS (SELECT query, subject, max(bit_score) AS bit_score FROM blast_hits WHERE trim(query) <> '' AND trim(subject) <> '' AND isfinite(bit_score) GROUP BY query, subject), "
@@ -136,5 +165,6 @@ ORACLES = {
     "max(CASE WHEN field_name = 'cross_domain_conflict' THEN value END) AS cross_domain_conflict FROM w WHERE k = 1 GROUP BY sequence_id",
     "p5_records": _EVERY + "SELECT s.sequence_id, max(CASE WHEN field_name = 'taxonomy_source' THEN value END) AS taxonomy_source, max(CASE WHEN field_name = 'assignment_method' THEN value END) AS assignment_method, "
     "max(CASE WHEN field_name = 'cross_domain_conflict' THEN value END) AS cross_domain_conflict FROM (SELECT DISTINCT sequence_id FROM g) s LEFT JOIN (SELECT * FROM w WHERE k = 1) v ON v.sequence_id = s.sequence_id GROUP BY s.sequence_id",
+    "p8_joined": "SELECT doc_id, text FROM documents WHERE text IS NOT NULL",
     "p6_round_trip": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
 }

@@ -86,6 +86,40 @@ def test_leaks(spark):
     assert unicodedata.normalize("NFKC", "ﬁn") in words_of("a ﬁn b")
 
 
+def test_leaks_in_blocks_and_shards(spark, monkeypatch):
+    """One item a block and few documents a shard give the same as all at once."""
+    from sedimark.llm import leakage
+
+    r = random.Random(5)
+    texts = [" ".join(r.choice("abcdefg") for _ in range(60)) for _ in range(50)]
+    items = spark.createDataFrame([(i, texts[3 * i][10:50]) for i in range(9)], "item_id long, text string")
+    whole = sorted(tuple(x) for x in leaked_passages(docs(spark, texts), items, 5).collect())
+    monkeypatch.setattr(leakage, "SHARD_CHARS", 300)
+    assert sorted(tuple(x) for x in leaked_passages(docs(spark, texts), items, 5, block_chars=1).collect()) == whole and len(whole) >= 9
+
+
+def test_p7_found_equals_brute_force(spark):
+    """All documents and items of the smallest tables against the set of their runs of twelve words."""
+    from pathlib import Path
+
+    from sedimark.llm import queries
+
+    folder = Path("/root/testdata/sf0.001")
+    if not folder.exists():
+        pytest.skip("no test tables")
+    rows = lambda name, key: [(x[key], words_of(x["text"])) for x in spark.read.parquet(f"{folder}/{name}.parquet").where("text is not null").collect()]
+    runs: dict[tuple, set[int]] = {}
+    for i, found in rows("eval_items", "item_id"):
+        for k in range(len(found) - 11):
+            runs.setdefault(tuple(found[k:k + 12]), set()).add(i)
+    expected = {(d, i) for d, found in rows("documents", "doc_id") for k in range(len(found) - 11) for i in runs.get(tuple(found[k:k + 12]), ())}
+    found = queries.p7_found(spark, str(folder)).collect()
+    assert {tuple(x) for x in found} == expected and len(found) == len(expected)
+    clean = queries.p7_clean(spark, str(folder)).collect()
+    texts = {x.doc_id: x.text for x in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    assert {x.doc_id: x.text for x in clean} == {d: t for d, t in texts.items() if d not in {d for d, _ in expected}}
+
+
 @pytest.mark.parametrize("limit, overlap", [(512, 64), (40, 8), (24, 0)])
 def test_pieces(spark, encoding, limit, overlap):
     texts = [*TEXTS, "# Title\n\n" + "\n\n".join("A sentence here. Another one there! " * 9 for _ in range(12))]
@@ -105,8 +139,19 @@ def test_pieces(spark, encoding, limit, overlap):
 
 
 def test_strongest_boundary():
-    text = "One two three four five six. " * 3 + "\n\n" + "One two three four five six. " * 3
-    splitter = Splitter(read_ranks(VOCABULARY), 32, 4)
-    pieces = splitter.split(text)
-    assert any(text[p.start:].startswith("\n\n") or text[:p.end].endswith("six.") for p in pieces)
-    assert len(pieces) > 1
+    """A paragraph end wins over the sentence ends around it, wherever it lies in the middle half; so does a line over sentences."""
+    sentence = "One two three four five six. "
+    splitter = Splitter(read_ranks(VOCABULARY), 64, 8)
+    for before in (5, 6, 7):
+        for mark in ("\n\n", "\n"):
+            text = sentence * before + mark + sentence * (12 - before)
+            pieces = splitter.split(text)
+            assert any(text[:p.end] == text[:p.end].rstrip() and text[p.end:].lstrip(" ").startswith(mark) for p in pieces), (before, mark, pieces)
+            assert all(text[p.end:] == "" or text[:p.end].endswith(".") for p in pieces)
+
+
+def test_overlaps_are_near_the_one_wanted():
+    """Where every word is a boundary, each piece but the first shares the wanted number of tokens, up to the size of a word."""
+    text = " ".join(["alpha", "beta", "gamma", "delta"] * 600)
+    pieces = Splitter(read_ranks(VOCABULARY), 512, 64).split(text)
+    assert len(pieces) > 2 and all(abs(p.overlap - 64) <= 2 for p in pieces[1:]) and pieces[0].overlap == 0

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -119,11 +118,3 @@ def plain_decimal(value: Column) -> Column:
 def version_key(version: Column) -> Column:
     """A dotted version as an array of integers, for comparison."""
     return F.transform(F.split(version, r"\."), lambda x: x.cast("int"))
-
-
-def general_format(digits: int = 6):
-    """A function from double to text as printf ``%g`` writes it with ``digits`` digits; for text sinks only."""
-    def formatted(values: pd.Series) -> pd.Series:
-        return values.map(lambda v: None if v is None or v != v else format(v, f".{digits}g"))
-
-    return F.pandas_udf(formatted, "string")

@@ -17,6 +17,22 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
 
 
+def duplicate_texts(df: DataFrame, text: str) -> DataFrame:
+    """Texts that occur more than once, with their number of rows: ``<text>, rows``.
+
+    Only digests are shuffled, until the few texts that share one are compared themselves.
+    """
+    digests = df.select(F.unhex(F.sha2(F.col(text), 256)).alias("__d"))
+    twice = digests.groupBy("__d").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("__d")
+    held = df.select(text, F.unhex(F.sha2(F.col(text), 256)).alias("__d")).join(twice, "__d", "left_semi")
+    return duplicate_keys(held, [text])
+
+
+def with_defaults(left: DataFrame, right: DataFrame, keys: Sequence[str], defaults: dict[str, object]) -> DataFrame:
+    """``left`` with the columns of ``right``, which has a key once, and ``defaults`` where it lacks the key or a value."""
+    return left.join(right, list(keys), "left").na.fill(defaults)
+
+
 def missing_parents(child: DataFrame, parent: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct keys of ``child`` that ``parent`` does not have."""
     return child.select(*keys).distinct().join(parent.select(*keys), list(keys), "left_anti")

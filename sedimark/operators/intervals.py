@@ -111,17 +111,18 @@ def collinear(fragments: Column, model_from: str = "model_from", model_to: str =
 def extraction_regions(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Regions to cut out of each subject, from columns ``model_from, model_to, model_length, seq_from, seq_to, strand``.
 
-    Hits over the full model and single partial hits stand alone; several partial hits that are jointly collinear make
-    one assembled region from their least to their greatest position; otherwise each stands alone.
-    Gives ``keys, start, end, strand, kind`` with kind ``simple`` or ``assembled``.
+    Every hit over the full model stands alone.  A single partial hit stands alone too; several that are jointly
+    collinear make one assembled region from their least to their greatest position, whether or not there are full
+    hits besides; otherwise each stands alone.  Gives ``keys, start, end, strand, kind`` with kind ``simple`` or
+    ``assembled``.  Only the partial hits of a subject are gathered.
     """
-    hit = F.struct("model_from", "model_to", "seq_from", "seq_to", "strand")
-    full = (F.col("model_from") == 1) & (F.col("model_to") == F.col("model_length"))
-    grouped = df.groupBy(*keys).agg(F.collect_list(hit).alias("hits"), F.collect_list(F.when(full, hit)).alias("full"), F.collect_list(F.when(~full, hit)).alias("partial"))
-    low = lambda h: F.least(h["seq_from"], h["seq_to"])
-    high = lambda h: F.greatest(h["seq_from"], h["seq_to"])
+    low, high = F.least("seq_from", "seq_to"), F.greatest("seq_from", "seq_to")
+    whole = (F.least("model_from", "model_to") == 1) & (F.greatest("model_from", "model_to") == F.col("model_length"))
+    alone = df.where(whole).select(*keys, low.alias("start"), high.alias("end"), "strand", F.lit("simple").alias("kind"))
+    hit = F.struct("model_from", "model_to", "seq_from", "seq_to", "strand", low.alias("low"), high.alias("high"))
+    grouped = df.where(~F.coalesce(whole, F.lit(False))).groupBy(*keys).agg(F.collect_list(hit).alias("h"))
     region = lambda s, e, strand, kind: F.struct(s.alias("start"), e.alias("end"), strand.alias("strand"), F.lit(kind).alias("kind"))
-    alone = F.transform("hits", lambda h: region(low(h), high(h), h["strand"], "simple"))
-    joined = F.array(region(F.array_min(F.transform("partial", low)), F.array_max(F.transform("partial", high)), F.get("partial", 0)["strand"], "assembled"))
-    join = (F.size("full") == 0) & (F.size("partial") > 1) & collinear(F.col("partial"))
-    return grouped.select(*keys, F.explode(F.when(join, joined).otherwise(alone)).alias("r")).select(*keys, "r.*")
+    each = F.transform("h", lambda h: region(h["low"], h["high"], h["strand"], "simple"))
+    joined = F.array(region(F.array_min(F.transform("h", lambda h: h["low"])), F.array_max(F.transform("h", lambda h: h["high"])), F.get("h", 0)["strand"], "assembled"))
+    parts = grouped.select(*keys, F.explode(F.when((F.size("h") > 1) & collinear(F.col("h")), joined).otherwise(each)).alias("r")).select(*keys, "r.*")
+    return alone.unionByName(parts)

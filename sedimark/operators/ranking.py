@@ -34,35 +34,56 @@ def equal_best(df: DataFrame, keys: Sequence[str], score: str, limit: int) -> Da
 
 
 def best_score_rows(df: DataFrame, keys: Sequence[str], score: str) -> DataFrame:
-    """The rows whose score equals the best of their group."""
-    return df.withColumn("__best", F.max(score).over(Window.partitionBy(*keys))).where(F.col(score) == F.col("__best")).drop("__best")
+    """The rows whose score equals the best of their group; scores that are null never do.
 
+    The best scores are aggregated, and rows meet them by group and score, so a large group is spread by its scores.
+    """
+    best = df.groupBy(*keys).agg(F.max(score).alias(score))
+    return df.join(best, [*keys, score], "left_semi").select(*df.columns)
 
-def candidate_window(df: DataFrame, keys: Sequence[str], score: Column, fraction: str, eligible: Column | None = None) -> DataFrame:
-    """Eligible rows within ``fraction`` of the best eligible score of their group, compared as exact decimals."""
-    rows = df if eligible is None else df.where(eligible)
-    exact = score.cast("decimal(18,6)")
-    best = F.max(exact).over(Window.partitionBy(*keys))
-    return rows.withColumn("__best", best).where(exact >= F.col("__best") * F.lit(fraction).cast("decimal(3,2)")).drop("__best")
 
+def candidates(df: DataFrame, keys: Sequence[str], score: Column, order: Sequence[Column], fraction: str, eligible: Column, limit: int) -> DataFrame:
+    """Eligible rows within ``fraction`` of the best eligible score of their group, compared as exact decimals.
+
+    Adds ``threshold`` and ``truncated``: whether the group may have lost candidates, that is whether row ``limit + 1``
+    of all its rows in ``order``, eligible or not, is still within the window.  ``limit`` places that row only; rows
+    beyond it are candidates like any other.  Groups without an eligible row give none, nor do null keys.
 
-def truncation_sentinel(df: DataFrame, keys: Sequence[str], score: Column, order: Sequence[Column], fraction: str, eligible: Column, limit: int) -> DataFrame:
-    """Whether each group may have lost candidates: its row ``limit + 1`` of all rows is still within the window of the best eligible one."""
+    Each group is reduced to its bounds first (partial maxima; no more than ``limit + 1`` rows of a group leave a
+    partition), and rows then meet their bounds in a join, which Spark splits where a key is skewed.
+    """
     exact = score.cast("decimal(18,6)")
-    rows = df.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    cut = F.max(F.when(F.col("__n") == limit + 1, exact))
-    best = F.max(F.when(eligible, exact))
-    return rows.groupBy(*keys).agg(cut.alias("__cut"), best.alias("__best")).select(
-        *keys, F.coalesce(F.col("__cut") >= F.col("__best") * F.lit(fraction).cast("decimal(3,2)"), F.lit(False)).alias("truncated"))
+    best = df.groupBy(*keys).agg(F.max(F.when(eligible, exact)).alias("__best"))
+    cut = first_rows(df.withColumn("__cut", exact), keys, order, limit + 1, rank="__n").where(F.col("__n") == limit + 1).select(*keys, "__cut")
+    threshold = F.col("__best") * F.lit(fraction).cast("decimal(3,2)")
+    bounds = best.where("__best is not null").join(cut, list(keys), "left").select(*keys, threshold.alias("threshold"), F.coalesce(F.col("__cut") >= threshold, F.lit(False)).alias("truncated"))
+    return df.join(bounds, list(keys)).where(eligible & (exact >= F.col("threshold"))).select(*df.columns, "threshold", "truncated")
+
 
+def top_with_evidence(df: DataFrame, keys: Sequence[str], order: Sequence[Column], score: str, sources: Column, names: Sequence[str], n: int) -> DataFrame:
+    """The first ``n`` rows of each group, all as good as the best, and the first of each source: with ``rank`` and ``reasons``.
 
-def top_with_evidence(df: DataFrame, keys: Sequence[str], order: Sequence[Column], source: str, n: int) -> DataFrame:
-    """The first ``n`` rows of each group and the first of each source in it, with ``rank`` and ``reasons`` in fixed order."""
-    ranked = df.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint"))
-    ranked = ranked.withColumn("__first", F.min("rank").over(Window.partitionBy(*keys, source)))
-    top, best = F.col("rank") <= n, F.col("rank") == F.col("__first")
-    reasons = F.concat_ws("|", F.when(top, F.lit("top_hit")), F.when(best, F.concat(F.lit("best_"), F.col(source))))
-    return ranked.where(top | best).withColumn("reasons", reasons).drop("__first")
+    ``order`` are values in ascending order, the first of them following ``score``; no two rows of a group may agree in
+    all of them.  ``sources`` is the array of a row's sources, ``names`` those that count.  Reasons come in a fixed
+    order: ``overall_top_n``, ``equal_best_assignment``, ``best_...`` for each name.
+
+    Groups are not sorted: their bounds are aggregated, the rows within them picked, and where the first row of a source
+    lies deep in its group, the rows before it are counted.
+    """
+    held = df.withColumn("__o", F.struct(*[c.alias(f"c{i}") for i, c in enumerate(order)]))
+    first = [F.min(F.when(F.array_contains(sources, name), F.col("__o"))).alias(f"__f{i}") for i, name in enumerate(names)]
+    last = first_rows(held.select(*keys, "__o"), keys, [F.col("__o")], n).groupBy(*keys).agg(F.max("__o").alias("__last"))
+    bounds = held.groupBy(*keys).agg(F.max(score).alias("__best"), *first).join(last, list(keys))
+    joined = held.join(bounds, list(keys))
+    before = joined.groupBy(*keys).agg(*[F.count_if(F.col("__o") < F.col(f"__f{i}")).alias(f"__n{i}") for i in range(len(names))])
+    front = (F.col("__o") <= F.col("__last")) | (F.col(score) == F.col("__best"))
+    reasons = F.concat_ws(
+        "|", F.when(F.col("__o") <= F.col("__last"), "overall_top_n"), F.when(F.col(score) == F.col("__best"), "equal_best_assignment"),
+        *[F.when(F.col("__o") == F.col(f"__f{i}"), f"best_{name}") for i, name in enumerate(names)])
+    # nothing comes before a row of the front but other rows of the front, so its number among the picked rows is its rank
+    picked = joined.withColumn("reasons", reasons).where("reasons <> ''").withColumn("__rank", F.row_number().over(Window.partitionBy(*keys).orderBy("__o"))).join(before, list(keys))
+    deep = F.coalesce(*[F.when(F.col("__o") == F.col(f"__f{i}"), F.col(f"__n{i}") + 1) for i in range(len(names))], F.col("__rank"))
+    return picked.withColumn("rank", F.when(front, F.col("__rank")).otherwise(deep).cast("bigint")).select(*df.columns, "rank", "reasons")
 
 
 def merged_ranking(df: DataFrame, keys: Sequence[str], item: str, order: Sequence[Column], n: int) -> DataFrame:
@@ -71,6 +92,22 @@ def merged_ranking(df: DataFrame, keys: Sequence[str], item: str, order: Sequenc
     return first_rows(once, keys, order, n, rank="rank")
 
 
+def vote(df: DataFrame, keys: Sequence[str], item: str, choice: str, names: Sequence[str], order: Sequence[Column], score: str, n: int, preferred: Column | None = None) -> DataFrame:
+    """What the first ``n`` of each group's merged ranking vote for: ``keys, votes_<name>, best_<name>, chosen, decision``.
+
+    The most votes decide, then the best score of all rows of a name, then the ``preferred`` one, then the order of ``names``.
+    """
+    ranked = merged_ranking(df, keys, item, order, n).groupBy(*keys).agg(*[F.count_if(F.col(choice) == name).alias(f"votes_{name}") for name in names])
+    best = df.groupBy(*keys).agg(*[F.max(F.when(F.col(choice) == name, F.col(score))).alias(f"best_{name}") for name in names], *([F.first(preferred, ignorenulls=True).alias("__preferred")] if preferred is not None else []))
+    rows = ranked.join(best, list(keys))
+    first = F.coalesce(F.col("__preferred"), F.lit("")) if preferred is not None else F.lit("")
+    one = lambda i, name: F.struct(F.col(f"votes_{name}").alias("v"), F.coalesce(F.col(f"best_{name}").cast("double"), F.lit(float("-inf"))).alias("b"), (first == name).alias("p"), F.lit(-i).alias("i"), F.lit(name).alias("n"))
+    sorted_ = F.sort_array(F.array(*[one(i, name) for i, name in enumerate(names)]), asc=False)
+    top, second = F.get(sorted_, 0), F.get(sorted_, 1)
+    decision = F.when(top["v"] != second["v"], "majority_global_top_hits").when(top["b"] != second["b"], "best_bitscore_tiebreak").otherwise("detected_model_tiebreak")
+    return rows.withColumn("chosen", top["n"]).withColumn("decision", decision).drop("__preferred")
+
+
 def nearest_with_ties(df: DataFrame, keys: Sequence[str], distance: str, order: Sequence[Column], k: int, tolerance: float = 1e-12) -> DataFrame:
     """The k nearest rows of each group and all rows as near as the last of them, up to a relative and absolute ``tolerance``."""
     d = F.col(distance)

@@ -18,9 +18,13 @@ def preview(column: Column, n: int = 5, separator: str = ", ") -> Column:
     return F.array_join(F.slice(F.array_sort(F.collect_list(column)), 1, n), separator)
 
 
-def category_matrix(df: DataFrame, sample: str, category: str, item: str, samples: DataFrame, categories: Sequence[str]) -> DataFrame:
-    """Distinct items per sample and category: a row for every sample and a column for every category, 0 where there are none."""
-    counted = df.groupBy(sample).agg(*[F.count_distinct(F.when(F.col(category) == c, F.col(item))).alias(c) for c in categories])
+def category_matrix(df: DataFrame, sample: str, category: str, items: Sequence[str], samples: DataFrame, categories: Sequence[str]) -> DataFrame:
+    """Distinct items per sample and category: a row for every sample and a column for every category, 0 where there are none.
+
+    Items that are null in a column count as none.  Each (sample, category, item) is counted once, before the counts are spread.
+    """
+    once = df.where(F.col(category).isin(*categories)).dropna(subset=list(items)).select(sample, category, *items).distinct()
+    counted = once.groupBy(sample).agg(*[F.count_if(F.col(category) == c).alias(c) for c in categories])
     return samples.select(sample).distinct().join(counted, sample, "left").na.fill(0, list(categories))
 
 
@@ -32,13 +36,24 @@ def composition(parts: dict[str, tuple[DataFrame, Column]]) -> DataFrame:
     return reduce(DataFrame.unionByName, counted)
 
 
-def resolution(df: DataFrame, group: str, value: Column, groups: DataFrame) -> DataFrame:
-    """Resolved and unresolved rows per group with the percentage to three places; every group of ``groups`` is present.
+# Taxa that resolve nothing.
+UNRESOLVED = ("unclassified", "incertae sedis")
 
-    A value resolves if it is not null, empty, ``unclassified`` or ``incertae sedis``.
-    """
-    good = value.isNotNull() & (F.trim(value) != "") & ~F.lower(value).isin("unclassified", "incertae sedis")
-    counted = df.groupBy(group).agg(F.count(F.lit(1)).alias("total"), F.count_if(good).alias("resolved"))
+
+def is_resolved(value: Column) -> Column:
+    """Whether a value names something: not null, empty, ``unclassified`` or ``incertae sedis``."""
+    return F.coalesce((F.trim(value) != "") & ~F.lower(value).isin(*UNRESOLVED), F.lit(False))
+
+
+def ordered_counts(df: DataFrame, keys: Sequence[str], place: Column, name: Column) -> DataFrame:
+    """Rows per ``keys`` with ``place``, in the order of place, the most first, then by ``name``."""
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).withColumn("place", place)
+    return counted.orderBy("place", F.desc("rows"), name)
+
+
+def resolution(df: DataFrame, group: str, value: Column, groups: DataFrame) -> DataFrame:
+    """Resolved and unresolved rows per group with the percentage to three places; every group of ``groups`` is present.  See is_resolved."""
+    counted = df.groupBy(group).agg(F.count(F.lit(1)).alias("total"), F.count_if(is_resolved(value)).alias("resolved"))
     full = groups.select(group).distinct().join(counted, group, "left").na.fill(0, ["total", "resolved"])
     percent = F.when(F.col("total") == 0, "0.000").otherwise((F.lit(100).cast("decimal(20,0)") * F.col("resolved") / F.col("total")).cast("decimal(9,3)").cast("string"))
     return full.select(group, "resolved", (F.col("total") - F.col("resolved")).alias("unresolved"), percent.alias("percent"))

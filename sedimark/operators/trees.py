@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sedimark.operators.lineage import AMBIGUOUS, MIXED, shared_prefix, valid_path
+from sedimark.operators.integrity import missing_parents
+from sedimark.operators.lineage import AMBIGUOUS, UNCLASSIFIED, common_value, shared_prefix, valid_path
 from sedimark.operators.ranking import nearest_with_ties
 
 
@@ -55,7 +56,7 @@ def read_newick(text: str) -> Node:
 
 
 def distances_from(newick: str, query: str) -> list[tuple[str, float, str | None]]:
-    """``(leaf, distance, support)`` of every leaf but ``query``; support is the name of the node above the query's parent edge."""
+    """``(leaf, distance, support)`` of every leaf but ``query``; support is the name of the query's parent, none where that is the root."""
     root = read_newick(newick)
     start, stack = None, [root]
     while stack:
@@ -65,7 +66,8 @@ def distances_from(newick: str, query: str) -> list[tuple[str, float, str | None
         stack.extend(node.children)
     if start is None:
         raise ValueError(f"the tree has no leaf {query!r}")
-    support = start.parent.name or None if start.parent is not None else None
+    above = start.parent
+    support = None if above is None or above.parent is None else above.name or None
     found, seen, stack = [], {id(start)}, [(start, 0.0)]
     while stack:
         node, far = stack.pop()
@@ -91,20 +93,59 @@ def leaf_distances(trees: DataFrame, tree: str, newick: str, query: str) -> Data
     return trees.select(F.col(tree).alias("tree"), newick, query).mapInPandas(scan, f"tree {kind}, leaf string, distance double, support string")
 
 
-def classify_by_neighbours(distances: DataFrame, references: DataFrame, k: int = 5) -> DataFrame:
-    """Lineage of each tree's query from its nearest informative leaves: ``tree, lineage, sources, compartment, neighbours``.
+def informative_lineage(taxonomy: Column, taxonomy_source: Column, domain: Column, centroid_taxonomy: Column, centroid_source: Column) -> Column:
+    """``struct<path, source, basis>`` of a reference: the deeper of its own path and its centroid's, its own if both are as deep.
 
-    ``references`` has ``leaf, lineage, source, compartment``; leaves without a lineage do not count.  All leaves as
-    near as the k-th take part.  Compartments that differ are mixed, no lineage at all is ambiguous.
+    Without either its domain alone counts (basis ``domain``); one that is ambiguous or unclassified has an empty path.
     """
-    known = references.where(F.coalesce(F.col("lineage"), F.lit("")) != "")
-    near = nearest_with_ties(distances.join(known, "leaf"), ["tree"], "distance", [F.col("leaf")], k)
-    ranks = valid_path(F.col("lineage"))
-    held = F.nullif(F.col("compartment"), F.lit(""))
-    grouped = near.select("tree", ranks.alias("p"), "source", held.alias("c")).groupBy("tree").agg(
-        F.min("p").alias("a"), F.max("p").alias("b"), F.array_join(F.array_sort(F.collect_set("source")), "|").alias("sources"),
-        F.min("c").alias("low"), F.max("c").alias("high"), F.count(F.lit(1)).alias("neighbours"))
-    lineage = F.coalesce(F.array_join(shared_prefix(F.array("a", "b")), ";"), F.lit(""))
+    text = lambda c: F.coalesce(c, F.lit(""))
+    none = F.array().cast("array<string>")
+
+    def candidate(path: Column, source: Column, basis: str) -> Column:
+        ranks = F.when(text(path) != UNCLASSIFIED, valid_path(path))
+        return F.when(ranks.isNotNull(), F.struct(F.size(ranks).alias("depth"), F.lit(basis).alias("basis"), ranks.alias("path"), text(source).alias("source")))
+
+    # preferred_taxonomy sorts after centroid_taxonomy, so it wins among equally deep paths
+    best = F.array_max(F.array(candidate(taxonomy, taxonomy_source, "preferred_taxonomy"), candidate(centroid_taxonomy, centroid_source, "centroid_taxonomy")))
+    found = lambda path, source, basis: F.struct(path.alias("path"), source.alias("source"), basis.alias("basis"))
+    return (
+        F.when(text(domain) == AMBIGUOUS, found(none, F.lit(""), F.lit("ambiguous"))).when(best.isNotNull(), found(best["path"], best["source"], best["basis"]))
+        .when(~text(domain).isin("", UNCLASSIFIED), found(F.array(domain), text(taxonomy_source), F.lit("domain"))).otherwise(found(none, F.lit(""), F.lit("unclassified"))))
+
+
+def ranked_neighbours(distances: DataFrame, references: DataFrame, k: int = 5) -> DataFrame:
+    """Every leaf of each tree with ``neighbour_rank, used, path, source, basis``: nearest first, then by hit rank, then by name.
+
+    ``distances`` is what leaf_distances gives; ``references`` has ``tree, leaf, hit_rank, taxonomy, taxonomy_source,
+    taxonomy_domain, compartment, centroid_taxonomy, centroid_taxonomy_source``.  ``used`` are the k nearest leaves with a
+    lineage and all as near as the last of them.
+    """
+    lineage = informative_lineage(*[F.col(c) for c in ("taxonomy", "taxonomy_source", "taxonomy_domain", "centroid_taxonomy", "centroid_taxonomy_source")])
+    joined = distances.join(references, ["tree", "leaf"]).withColumn("__l", lineage).select("*", "__l.path", F.col("__l.source").alias("source"), "__l.basis").drop("__l")
+    order = [F.col("hit_rank"), F.col("leaf")]
+    used = nearest_with_ties(joined.where(F.size("path") > 0), ["tree"], "distance", order, k).select("tree", "leaf", F.lit(True).alias("used"))
+    ranked = joined.withColumn("neighbour_rank", F.row_number().over(Window.partitionBy("tree").orderBy("distance", *order)).cast("bigint"))
+    return ranked.join(used, ["tree", "leaf"], "left").withColumn("used", F.coalesce("used", F.lit(False)))
+
+
+def classify_by_neighbours(ranked: DataFrame) -> DataFrame:
+    """One row per tree of what ranked_neighbours gives: ``tree, lineage, domain, sources, compartment, method, neighbours, nearest, nearest_distance, support``.
+
+    The lineage is what the used leaves share; trees without a used leaf are Unclassified by a method of their own.
+    Compartments that differ are mixed.
+    """
+    used = lambda c: F.when(F.col("used"), c)
+    grouped = ranked.groupBy("tree").agg(
+        F.min(used(F.col("path"))).alias("a"), F.max(used(F.col("path"))).alias("b"), F.array_join(F.array_sort(F.collect_set(used(F.nullif("source", F.lit(""))))), "|").alias("sources"),
+        common_value(used(F.col("compartment"))).alias("compartment"), F.count_if("used").alias("neighbours"), F.min_by("leaf", "neighbour_rank").alias("nearest"),
+        F.min_by("distance", "neighbour_rank").alias("nearest_distance"), F.first("support", ignorenulls=True).alias("support"))
+    shared = F.coalesce(shared_prefix(F.array("a", "b")), F.array().cast("array<string>"))
     return grouped.select(
-        "tree", F.when(lineage == "", AMBIGUOUS).otherwise(lineage).alias("lineage"), "sources",
-        F.when(F.col("low") != F.col("high"), MIXED).otherwise(F.coalesce("low", F.lit(""))).alias("compartment"), "neighbours")
+        "tree", F.when(F.size(shared) > 0, F.array_join(shared, ";")).otherwise(UNCLASSIFIED).alias("lineage"), F.coalesce(F.get(shared, 0), F.lit(UNCLASSIFIED)).alias("domain"), "sources", "compartment",
+        F.when(F.col("neighbours") > 0, "tree_nearest_named_lca").otherwise("tree_unclassified_no_named_neighbors").alias("method"), "neighbours", "nearest", "nearest_distance", "support")
+
+
+def leaf_mismatches(distances: DataFrame, references: DataFrame) -> dict[str, DataFrame]:
+    """Leaves that only the tree or only the references have."""
+    keys = ["tree", "leaf"]
+    return {"leaf without reference": missing_parents(distances, references, keys), "reference without leaf": missing_parents(references, distances, keys)}

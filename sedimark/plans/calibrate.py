@@ -2,99 +2,291 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimark.operators.lineage import concrete_domain, path_ranks, shared_prefix, valid_path
+from sedimark.functions.sequences import plain_decimal
+from sedimark.operators import integrity as I
+from sedimark.operators import ranking as R
+from sedimark.operators.lineage import common_value, path_ranks, shared_prefix
 from sedimark.operators.summaries import contiguous_cap, wilson_lower_bound
 
-# Thresholds of candidates and of calibration.
+# Thresholds of candidates and of calibration, ranks of the sources, names of outcomes.
 LEAST_COVERAGE, FRACTION, TARGETS = 80, "0.98", 500
 LEAST_CALLS, PRECISION, GENUS_PRECISION = 100, 0.95, 0.98
+RANKS = {
+    "SILVA": ("domain", "phylum", "class", "order", "family", "genus"),
+    "PR2": ("domain", "supergroup", "division", "subdivision", "class", "order", "family", "genus", "species"),
+}
+CALLED = {"SILVA": RANKS["SILVA"], "PR2": RANKS["PR2"][:-1]}  # a species is never calibrated, only called where the match is exact
+STRATUM = ["marker", "taxonomy_source", "domain"]
+SOURCES, DOMAINS, MARKERS = ("SILVA", "PR2"), ("Bacteria", "Archaea", "Eukaryota"), ("16S", "18S")
+CLUSTER_METHOD, NO_METHOD, BOTH = "updated_reference_cluster", "updated_reference_unclassified", "SILVA+PR2"
+
+
+def _order() -> list[Column]:
+    return [F.desc("bit_score"), F.desc("percent_identity"), F.desc("alignment_length"), F.col("subject")]
 
 
 def candidates(hits: DataFrame, targets: int = TARGETS) -> DataFrame:
-    """Hits within the window of the best well-covered hit, with ``truncated``: whether raw hit ``targets + 1`` is in it too.
+    """Hits within the window of the best well-covered hit; see ranking.candidates."""
+    return R.candidates(hits, ["query"], F.col("bit_score"), _order(), FRACTION, F.col("query_coverage") >= LEAST_COVERAGE, targets)
 
-    Coverage is tested before the best score is chosen, the sentinel before coverage; scores are exact decimals.
-    ``targets`` places the sentinel only: hits beyond it are candidates like any other.
-    """
-    raw = Window.partitionBy("query").orderBy(F.desc("bit_score"), F.desc("percent_identity"), F.desc("alignment_length"), "subject")
-    whole = Window.partitionBy("query")
-    eligible = F.col("query_coverage") >= LEAST_COVERAGE
-    rows = hits.withColumn("n", F.row_number().over(raw)).withColumn("best", F.max(F.when(eligible, F.col("bit_score"))).over(whole))
-    threshold = F.col("best") * F.lit(FRACTION).cast("decimal(3,2)")
-    rows = rows.withColumn("threshold", threshold).withColumn("sentinel", F.max(F.when(F.col("n") == targets + 1, F.col("bit_score"))).over(whole))
-    return rows.where(eligible & (F.col("bit_score") >= F.col("threshold"))).withColumn("truncated", F.coalesce(F.col("sentinel") >= F.col("threshold"), F.lit(False))).drop("n", "best", "sentinel")
 
+def reference_violations(taxonomy: DataFrame) -> dict[str, DataFrame]:
+    """Rules of reference taxonomy (``sequence_id, taxonomy, taxonomy_source, domain, cross_domain_conflict, taxonomy_alternatives``)."""
+    text = lambda c: F.trim(F.coalesce(F.col(c), F.lit("")))
+    conflict = F.coalesce(F.col("cross_domain_conflict"), F.lit(False))
+    first = F.coalesce(F.get(path_ranks(F.col("taxonomy")), 0), F.lit(""))
+    alternatives = F.from_json("taxonomy_alternatives", "array<map<string,string>>")
+    return {
+        "duplicate reference taxonomy row": I.duplicate_keys(taxonomy, ["sequence_id"]),
+        "row without source or domain": taxonomy.where((text("taxonomy_source") == "") | (text("domain") == "")).select("sequence_id"),
+        "conflict without alternatives": taxonomy.where(conflict & ((text("domain") != "ambiguous") | alternatives.isNull() | (F.size(alternatives) == 0))).select("sequence_id"),
+        "taxonomy without its domain": taxonomy.where(~conflict & ((first == "") | (first != text("domain")))).select("sequence_id", "taxonomy", "domain"),
+    }
 
-def leave_one_out(hits: DataFrame, taxonomy: DataFrame, targets: int = TARGETS) -> DataFrame:
-    """Predicted path of each query from its hits other than itself: ``query, predicted`` as ranks."""
-    near = candidates(hits.where("subject <> query"), targets).join(taxonomy.select(F.col("sequence_id").alias("subject"), "taxonomy", "domain"), "subject")
-    grouped = near.select("query", "truncated", valid_path(F.col("taxonomy")).alias("p"), concrete_domain(F.col("domain")).alias("d")).groupBy("query").agg(
-        F.bool_or("truncated").alias("truncated"), F.min("p").alias("a"), F.max("p").alias("b"), F.min("d").alias("low"), F.max("d").alias("high"))
+
+def sample_truth(preferred: DataFrame, sequences: DataFrame, per_stratum: int) -> DataFrame:
+    """The first ``per_stratum`` sequences of every marker, source and domain: ``query, marker, taxonomy_source, domain, taxonomy``."""
+    tokens = sequences.select("sequence_id", F.explode(F.split("markers", ";")).alias("marker")).select("sequence_id", F.trim("marker").alias("marker"))
+    kept = preferred.where(
+        F.col("taxonomy_source").isin(*SOURCES) & F.col("domain").isin(*DOMAINS) & (F.trim("taxonomy") != "") & ~F.coalesce("cross_domain_conflict", F.lit(True)))
+    rows = kept.join(tokens.where(F.col("marker").isin(*MARKERS)), "sequence_id").select(F.col("sequence_id").alias("query"), *STRATUM, "taxonomy").distinct()
+    return R.first_rows(rows, STRATUM, [F.col("query")], per_stratum)
+
+
+def search_violations(hits: DataFrame, truth: DataFrame) -> dict[str, DataFrame]:
+    """Sampled queries that the search lacks or does not find themselves, and queries that were not sampled."""
+    wanted, found = truth.select("query"), hits.select("query")
+    return {"missing query": I.missing_parents(wanted, found, ["query"]), "extra query": I.missing_parents(found, wanted, ["query"]),
+            "no self hit": I.missing_parents(wanted, hits.where("subject = query").select("query"), ["query"])}
+
+
+def _with_records(near: DataFrame, taxonomy: DataFrame) -> DataFrame:
+    """Candidates with the taxonomy of their subject: ``path`` (empty in a conflict), ``reference_domain``, ``known`` and the rest."""
+    conflict = F.coalesce(F.col("cross_domain_conflict"), F.lit(False))
+    text = lambda c: F.trim(F.coalesce(F.col(c), F.lit(""))) if c in taxonomy.columns else F.lit("")
     none = F.array().cast("array<string>")
-    predicted = F.when(F.col("low").isNull() | (F.col("low") != F.col("high")), none).when(F.col("truncated"), F.array("low")).otherwise(F.coalesce(shared_prefix(F.array("a", "b")), none))
-    return grouped.select("query", predicted.alias("predicted"))
+    records = taxonomy.select(
+        F.col("sequence_id").alias("subject"), F.when(conflict, none).otherwise(path_ranks(F.col("taxonomy"))).alias("path"), text("domain").alias("reference_domain"),
+        text("taxonomy_source").alias("taxonomy_source"), text("compartment").alias("compartment"), conflict.alias("conflict"), F.lit(True).alias("known"))
+    return near.join(records, "subject", "left")
 
 
-def calibration(predictions: DataFrame, truth: DataFrame, ranks: int) -> DataFrame:
-    """Calls, correct calls, precision and accepted depth per stratum and rank.
+def _shared(truncated: Column) -> Column:
+    """The assigned ranks of a group: of a cut-off one the domain if there is one only, else the shared prefix of all paths."""
+    none = F.array().cast("array<string>")
+    one = F.when((F.col("low") == F.col("high")) & (F.col("low") != ""), F.array("low")).otherwise(none)
+    return F.when(truncated, one).otherwise(F.coalesce(shared_prefix(F.array("a", "b")), none))
+
 
-    ``truth`` has ``query, marker, taxonomy_source, domain, taxonomy``.  A rank is called if the prediction reaches it
-    and correct if the prediction agrees with the truth up to it.
+def leave_one_out(hits: DataFrame, taxonomy: DataFrame, targets: int = TARGETS) -> DataFrame:
+    """Predicted ranks of each query from its hits other than itself: ``query, predicted``.
+
+    A candidate without taxonomy is an error; one in conflict leaves the query without a prediction.
     """
-    strata = ["marker", "taxonomy_source", "domain"]
-    rows = truth.join(predictions, "query", "left").withColumn("p", F.coalesce("predicted", F.array().cast("array<string>"))).withColumn("t", path_ranks(F.col("taxonomy")))
-    each = rows.select(*strata, F.explode(F.transform(F.sequence(F.lit(1), F.lit(ranks)), lambda k: F.struct(
-        (k - 1).alias("rank"), (F.size("p") >= k).alias("called"), ((F.size("p") >= k) & (F.slice("p", F.lit(1), k) == F.slice("t", F.lit(1), k))).alias("correct")))).alias("r"))
-    counted = each.groupBy(*strata, F.col("r.rank").alias("rank")).agg(F.count(F.lit(1)).alias("total"), F.count_if("r.called").alias("calls"), F.count_if("r.correct").alias("correct"))
-    bound = wilson_lower_bound(F.col("correct"), F.col("calls"))
-    least = F.when(F.col("rank") >= ranks - 1, GENUS_PRECISION).otherwise(PRECISION)
-    return counted.withColumn("lower_bound", bound).withColumn("accepted", (F.col("calls") >= LEAST_CALLS) & (bound >= least))
+    near = _with_records(candidates(hits.where("subject <> query"), targets), taxonomy)
+    path = F.when(F.col("known").isNull(), F.raise_error(F.concat(F.lit("taxonomy is missing for "), "subject"))).otherwise(F.col("path"))
+    grouped = near.withColumn("path", path).groupBy("query").agg(
+        F.bool_or("truncated").alias("truncated"), F.bool_or("conflict").alias("conflict"), F.min("path").alias("a"), F.max("path").alias("b"), F.min("reference_domain").alias("low"), F.max("reference_domain").alias("high"))
+    return grouped.select("query", F.when(F.col("conflict"), F.array().cast("array<string>")).otherwise(_shared(F.col("truncated"))).alias("predicted"))
 
 
-def rank_caps(calibrated: DataFrame) -> DataFrame:
-    """The deepest rank up to which every rank of a stratum is accepted, -1 for none."""
-    return contiguous_cap(calibrated, ["marker", "taxonomy_source", "domain"], "rank", F.col("accepted"))
+def calibration(predictions: DataFrame, truth: DataFrame) -> DataFrame:
+    """Figures of every stratum and rank: ``marker, taxonomy_source, domain, rank_index, rank, sampled, truth_available, called, correct, call_rate, precision, lower_bound, required, accepted``.
 
+    ``truth`` has ``query, marker, taxonomy_source, domain, taxonomy``.  A rank counts only where the truth has it; it is
+    called if the prediction has it too and correct if both agree up to it.  The species of PR2 is left out, and a genus
+    needs more precision.
+    """
+    source = F.create_map(*[x for name, ranks in CALLED.items() for x in (F.lit(name), F.array(*[F.lit(r) for r in ranks]))])
+    rows = truth.join(predictions, "query", "left").withColumn("p", F.coalesce("predicted", F.array().cast("array<string>"))).withColumn("t", F.split("taxonomy", ";", -1))
+    at = lambda ranks, i: F.coalesce(F.get(ranks, i), F.lit(""))
 
-def classified_clusters(clusters: DataFrame, hits: DataFrame, taxonomy: DataFrame, caps: DataFrame, marker: str, targets: int = TARGETS) -> DataFrame:
-    """``cluster_id, reason, taxonomy, domain``: the first reason that holds against an assignment, else ``assigned``.
+    def judged(rank: Column, i: Column) -> Column:
+        have, called = at(F.col("t"), i) != "", at(F.col("p"), i) != ""
+        agree = F.slice("p", F.lit(1), i + 1) == F.slice("t", F.lit(1), i + 1)
+        return F.struct(i.alias("rank_index"), rank.alias("rank"), have.alias("have"), (have & called).alias("called"), (have & called & agree).alias("correct"))
+
+    each = rows.select(*STRATUM, F.explode(F.transform(F.try_element_at(source, F.col("taxonomy_source")), judged)).alias("r"))
+    counted = each.groupBy(*STRATUM, "r.rank_index", "r.rank").agg(
+        F.count(F.lit(1)).alias("sampled"), F.count_if("r.have").alias("truth_available"), F.count_if("r.called").alias("called"), F.count_if("r.correct").alias("correct"))
+    share = lambda a, b: F.when(F.col(b) == 0, 0.0).otherwise(F.col(a) / F.col(b))
+    rows = counted.withColumn("call_rate", share("called", "truth_available")).withColumn("precision", share("correct", "called")).withColumn("lower_bound", wilson_lower_bound(F.col("correct"), F.col("called")))
+    rows = rows.withColumn("required", F.when(F.col("rank") == "genus", GENUS_PRECISION).otherwise(PRECISION))
+    return rows.withColumn("accepted", (F.col("called") >= LEAST_CALLS) & (F.col("lower_bound") >= F.col("required")))
+
+
+def strata(calibrated: DataFrame) -> DataFrame:
+    """``marker, taxonomy_source, domain, status, rank_cap, reason``: the deepest rank up to which all are accepted, or why there is none."""
+    caps = contiguous_cap(calibrated, STRATUM, "rank_index", F.col("accepted"))
+    first = calibrated.where("rank_index = 0").select(*STRATUM, (F.col("called") >= LEAST_CALLS).alias("enough"), (F.col("lower_bound") >= PRECISION).alias("precise"))
+    failed = F.col("cap") < 0
+    reason = (
+        F.when(~failed, "").when(~F.col("enough") & ~F.col("precise"), "insufficient_domain_calls_and_precision_below_threshold")
+        .when(~F.col("enough"), "insufficient_domain_calls").otherwise("domain_precision_below_threshold"))
+    return caps.join(first, STRATUM).select(*STRATUM, F.when(failed, "failed").otherwise("calibrated").alias("status"), F.when(~failed, F.col("cap").cast("int")).alias("rank_cap"), reason.alias("reason"))
 
-    ``clusters`` has ``cluster_id, centroid, members``; the assigned path is cut at the cap of its stratum.
+
+def read_calibration(spark: SparkSession, text: str) -> DataFrame:
+    """The strata of a calibration file, as strata gives them; its two parts must agree.
+
+    The file is a configuration of a few entries and is read in the driver.
+    """
+    data = json.loads(text)
+    if not isinstance(data, dict) or data.get("schema_version") != 2:
+        raise I.IntegrityError("calibration schema_version must be 2")
+    caps, held = data.get("rank_caps"), data.get("strata")
+    if not isinstance(caps, dict) or not isinstance(held, dict) or not held:
+        raise I.IntegrityError("calibration needs rank_caps and strata")
+    rows, calibrated = [], {}
+    for key, one in held.items():
+        if not isinstance(one, dict) or len(key.split("|")) != 3:
+            raise I.IntegrityError(f"stratum {key!r}")
+        status, cap, reason = one.get("status"), one.get("rank_cap"), one.get("reason")
+        good = type(cap) is int and cap >= 0 and reason == "" if status == "calibrated" else status == "failed" and cap is None and isinstance(reason, str) and reason != ""
+        if not good:
+            raise I.IntegrityError(f"stratum {key!r} has status {status!r}, cap {cap!r}, reason {reason!r}")
+        if status == "calibrated":
+            calibrated[key] = cap
+        rows.append((*key.split("|"), status, cap, reason))
+    if calibrated != caps or any(type(c) is not int for c in caps.values()):
+        raise I.IntegrityError("rank_caps differ from the calibrated strata")
+    return spark.createDataFrame(rows, "marker string, taxonomy_source string, domain string, status string, rank_cap int, reason string")
+
+
+def alias_violations(clusters: DataFrame, hits: DataFrame) -> dict[str, DataFrame]:
+    """Names that stand for several clusters, searches of no cluster, and clusters searched under both their names."""
+    names = _aliases(clusters)
+    searched = hits.select(F.col("query").alias("alias")).distinct().join(names, "alias")
+    return {
+        "ambiguous alias": I.duplicate_keys(names, ["alias"]),
+        "query of no cluster": I.missing_parents(hits.select(F.col("query").alias("alias")), names, ["alias"]),
+        "hits under both names": I.duplicate_keys(searched, ["cluster_id"]),
+    }
+
+
+def _aliases(clusters: DataFrame) -> DataFrame:
+    return clusters.select(F.explode(F.array_distinct(F.array("cluster_id", "centroid"))).alias("alias"), "cluster_id")
+
+
+def species_path(path: Column, only_pr2: Column) -> Column:
+    """Whether a path names a species: nine ranks of an eukaryote that PR2 alone supports."""
+    return (F.size(path) == len(RANKS["PR2"])) & (F.get(path, 0) == "Eukaryota") & only_pr2
+
+
+def classified_clusters(clusters: DataFrame, hits: DataFrame, taxonomy: DataFrame, calibrated: DataFrame | None = None, marker: str = "", targets: int = TARGETS, propagation_cap: int | None = None) -> DataFrame:
+    """One row per cluster: its counts, its status with the first reason against an assignment, and the assignment.
+
+    ``clusters`` has ``cluster_id, centroid, members``, and hits may name either of the first two; ``calibrated`` is what
+    strata gives.  The path shared by all candidates loses its species unless all of them are exact and agree; it is
+    cut at the least cap of the strata of all sources of the candidates, unless it still names a species; members get
+    it cut at ``propagation_cap`` too.  A stratum that was never calibrated is an error.
     """
-    every = hits.groupBy("query").agg(F.count(F.lit(1)).alias("hits"), F.count_if(F.col("query_coverage") >= LEAST_COVERAGE).alias("covered"))
-    near = candidates(hits, targets).join(taxonomy.select(F.col("sequence_id").alias("subject"), "taxonomy", "domain", "taxonomy_source"), "subject", "left")
-    grouped = near.select("query", "truncated", "taxonomy_source", valid_path(F.col("taxonomy")).alias("p"), F.col("domain").alias("raw"), concrete_domain(F.col("domain")).alias("d")).groupBy("query").agg(
-        F.bool_or("truncated").alias("truncated"), F.min("p").alias("a"), F.max("p").alias("b"), F.bool_or(F.col("raw").isNull()).alias("missing"),
-        F.bool_or(F.col("raw").isNotNull() & F.col("d").isNull()).alias("ambiguous"), F.min("d").alias("low"), F.max("d").alias("high"), F.max("taxonomy_source").alias("taxonomy_source"))
-    rows = clusters.join(every.withColumnRenamed("query", "centroid"), "centroid", "left").join(grouped.withColumnRenamed("query", "centroid"), "centroid", "left")
-    rows = rows.join(caps.where(F.col("marker") == marker).select("taxonomy_source", F.col("domain").alias("low"), "cap"), ["taxonomy_source", "low"], "left")
+    found = hits.withColumnRenamed("query", "alias").join(_aliases(clusters), "alias").drop("alias").withColumnRenamed("cluster_id", "query")
+    covered = F.col("query_coverage") >= LEAST_COVERAGE
+    every = found.groupBy("query").agg(F.count(F.lit(1)).alias("returned_hits"), F.count_if(covered).alias("eligible_hits"))
+    near = _with_records(candidates(found, targets), taxonomy)
+    exact = (F.col("percent_identity") == 100) & (F.col("query_coverage") == 100) & (F.col("alignment_length") == F.col("query_length")) & (F.col("query_length") == F.col("subject_length"))
+    grouped = near.withColumn("held", F.when(F.col("reference_domain") != "", F.col("reference_domain"))).groupBy("query").agg(
+        F.bool_or("truncated").alias("truncated"), F.count(F.lit(1)).alias("candidates"), F.bool_or(F.col("known").isNull()).alias("missing"), F.bool_or(F.coalesce("conflict", F.lit(False))).alias("ambiguous"),
+        F.min("path").alias("a"), F.max("path").alias("b"), F.min("held").alias("low"), F.max("held").alias("high"), F.bool_and(F.coalesce(exact, F.lit(False))).alias("exact"),
+        F.max("threshold").alias("threshold"), F.max("bit_score").alias("best_bit_score"), F.array_sort(F.collect_set("taxonomy_source")).alias("sources"), common_value(F.col("compartment"), "").alias("compartment"))
+    shared = grouped.withColumn("shared", _shared(F.col("truncated"))).withColumn("unanimous", F.col("exact") & (F.col("a") == F.col("b"))).withColumn("only_pr2", F.col("sources") == F.array(F.lit("PR2")))
+    guarded = species_path(F.col("shared"), F.col("only_pr2")) & ~F.col("unanimous")
+    shared = shared.withColumn("guarded", guarded).withColumn("path", F.when(guarded, F.slice("shared", 1, len(RANKS["PR2"]) - 1)).otherwise(F.col("shared")))
+    rows = clusters.join(every.withColumnRenamed("query", "cluster_id"), "cluster_id", "left").join(shared.withColumnRenamed("query", "cluster_id"), "cluster_id", "left").na.fill(0, ["returned_hits", "eligible_hits", "candidates"])
+    if calibrated is not None:
+        needed = rows.where(~F.col("missing") & ~F.col("ambiguous") & (F.size("path") > 0)).select("cluster_id", F.explode("sources").alias("taxonomy_source"), F.get("path", 0).alias("domain"))
+        own = calibrated.where(F.col("marker") == marker).drop("marker")
+        key = F.concat_ws("|", F.lit(marker), "taxonomy_source", "domain")
+        status = F.when(F.col("status").isNull(), F.raise_error(F.concat(F.lit("calibration lacks stratum "), key))).otherwise(F.col("status"))
+        caps = needed.join(own, ["taxonomy_source", "domain"], "left").select("cluster_id", status.alias("status"), "rank_cap").groupBy("cluster_id").agg(
+            F.bool_or(F.col("status") == "failed").alias("failed"), F.min("rank_cap").alias("rank_cap"))
+        rows = rows.join(caps, "cluster_id", "left")
+    else:
+        rows = rows.withColumn("failed", F.lit(False)).withColumn("rank_cap", F.lit(None).cast("int"))
     reason = (
-        F.when(F.size("members") == 0, "no_img_members").when(F.coalesce("hits", F.lit(0)) == 0, "no_hits").when(F.col("covered") == 0, "no_hits_at_minimum_query_coverage")
-        .when(F.col("missing"), "missing_reference_taxonomy").when(F.col("ambiguous"), "ambiguous_reference_taxonomy").when(F.col("low") != F.col("high"), "no_common_domain")
-        .when(F.coalesce("cap", F.lit(-1)) < 0, "calibration_stratum_failed").otherwise("assigned"))
-    path = F.when(F.col("truncated"), F.array("low")).otherwise(F.slice(shared_prefix(F.array("a", "b")), F.lit(1), (F.col("cap") + 1).cast("int")))
-    done = reason == "assigned"
-    return rows.select("cluster_id", "members", reason.alias("reason"), F.when(done, F.array_join(path, ";")).otherwise("").alias("taxonomy"), F.when(done, F.col("low")).otherwise("").alias("domain"))
+        F.when(F.size("members") == 0, "no_img_members").when(F.col("returned_hits") == 0, "no_hits").when(F.col("eligible_hits") == 0, "no_hits_at_minimum_query_coverage")
+        .when(F.col("missing"), "missing_reference_taxonomy").when(F.col("ambiguous"), "ambiguous_reference_taxonomy").when(F.size("path") == 0, "no_common_domain")
+        .when(F.col("failed"), "calibration_stratum_failed").otherwise(""))
+    done = F.col("reason") == ""
+    named = species_path(F.col("path"), F.col("only_pr2")) & F.col("unanimous")
+    deep = F.when(F.col("rank_cap").isNotNull() & ~named, F.slice("path", F.lit(1), F.col("rank_cap") + 1)).otherwise(F.col("path"))
+    member = deep if propagation_cap is None else F.slice(deep, 1, propagation_cap + 1)
+    rows = rows.withColumn("reason", reason).withColumn("deep", deep).withColumn("member", member)
+    text = lambda c: F.when(done, c).otherwise("")
+    sources = text(F.array_join("sources", "+"))
+    return rows.select(
+        "cluster_id", "centroid", "members", F.size("members").alias("member_count"), "returned_hits", "eligible_hits", (F.col("returned_hits") - F.col("eligible_hits")).alias("covered_too_little"), "candidates",
+        plain_decimal(F.col("best_bit_score")).alias("best_bit_score"), plain_decimal(F.col("threshold")).alias("threshold"), F.when(done, "classified").otherwise("unclassified").alias("status"), "reason",
+        text(F.array_join("member", ";")).alias("taxonomy"), sources.alias("taxonomy_source"), text(F.array_join("deep", ";")).alias("centroid_taxonomy"), sources.alias("centroid_taxonomy_source"),
+        text(F.get("path", 0)).alias("domain"), text(F.when(F.col("truncated"), "").otherwise(F.col("compartment"))).alias("compartment"), text(F.lit(CLUSTER_METHOD)).alias("assignment_method"),
+        F.coalesce("truncated", F.lit(False)).alias("truncated"), (done & F.coalesce("guarded", F.lit(False))).alias("species_guarded"), F.coalesce(done & species_path(F.col("member"), F.col("only_pr2")), F.lit(False)).alias("species_called"),
+        "rank_cap", F.lit(propagation_cap).cast("int").alias("propagation_cap"))
+
+
+def with_evidence(outcomes: DataFrame) -> DataFrame:
+    """``outcomes`` with ``evidence_id``: ``IMGEV_`` + the SHA-256 of a row's own canonical JSON without names of clusters, centroids and members."""
+    shown = sorted(c for c in outcomes.columns if c not in ("cluster_id", "centroid", "members"))
+    return outcomes.withColumn("evidence_id", F.concat(F.lit("IMGEV_"), F.sha2(F.to_json(F.struct(*shown), {"ignoreNullFields": "false"}), 256)))
+
+
+def evidence_catalog(outcomes: DataFrame) -> DataFrame:
+    """``evidence_id, decision`` of what with_evidence gives, each decision once."""
+    shown = sorted(c for c in outcomes.columns if c not in ("cluster_id", "centroid", "members", "evidence_id"))
+    return outcomes.groupBy("evidence_id").agg(F.min(F.to_json(F.struct(*shown), {"ignoreNullFields": "false"})).alias("decision"))
+
+
+def centroid_name(centroid: Column) -> Column:
+    """The name of a centroid without a lineage behind it; one that is empty or holds a separator is an error."""
+    trimmed = F.trim(centroid)
+    name = F.when(F.startswith(trimmed, F.lit("REF_SILVA_")), F.get(F.split(trimmed, ";", 2), 0)).otherwise(trimmed)
+    return F.when((name == "") | name.rlike(r"[\r\n\t|]"), F.raise_error(F.concat(F.lit("invalid centroid name: "), centroid))).otherwise(name)
 
 
 def member_assignments(outcomes: DataFrame) -> DataFrame:
-    """Every member of a cluster with the cluster's outcome."""
-    return outcomes.select(F.explode("members").alias("source_identifier"), "cluster_id", "reason", "taxonomy", "domain")
+    """Every member of a cluster with the outcome of its cluster, as with_evidence gives them."""
+    done = F.col("status") == "classified"
+    pick = lambda c, other: F.when(done, F.col(c)).otherwise(other).alias(c)
+    evidence = F.when(done, F.concat(
+        F.lit("centroid_blast_lca evidence_id="), "evidence_id", F.lit(" candidates="), F.col("candidates").cast("string"), F.lit(" best_bitscore="), "best_bit_score", F.lit(" truncated="), F.col("truncated").cast("string"),
+    )).otherwise(F.concat(F.lit("centroid_blast_unclassified evidence_id="), "evidence_id", F.lit(" reason="), "reason"))
+    return outcomes.select(
+        F.explode("members").alias("source_identifier"), pick("taxonomy", "Unclassified"), pick("taxonomy_source", BOTH), pick("assignment_method", NO_METHOD), evidence.alias("evidence"), pick("compartment", ""),
+        "cluster_id", "centroid", centroid_name(F.col("centroid")).alias("centroid_name"), pick("centroid_taxonomy", ""), pick("centroid_taxonomy_source", ""), "evidence_id")
 
 
-def species_guard(candidate_rows: DataFrame, ranks: int = 9) -> DataFrame:
-    """Per query whether a species may be named: all candidates are exact eukaryotes of PR2 with one and the same full path.
+def remapped_evidence(assignments: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Assignments with the evidence ids of ``mapping`` (``evidence_id, new_id`` and the fields an assignment must share with its evidence).
 
-    ``candidate_rows`` has ``query, taxonomy, domain, taxonomy_source, percent_identity, query_coverage``.
+    An id that does not resolve, a field that differs, or a text that does not name its evidence is an error.
     """
-    path = path_ranks(F.col("taxonomy"))
-    exact = (F.col("percent_identity") == 100) & (F.col("query_coverage") == 100) & (F.col("domain") == "Eukaryota") & (F.col("taxonomy_source") == "PR2") & (F.size(path) == ranks)
-    return candidate_rows.groupBy("query").agg((F.bool_and(F.coalesce(exact, F.lit(False))) & (F.count_distinct("taxonomy") == 1)).alias("species"))
+    fields = [c for c in mapping.columns if c not in ("evidence_id", "new_id")]
+    joined = assignments.join(mapping.select("evidence_id", "new_id", *[F.col(c).alias(f"__{c}") for c in fields]), "evidence_id", "left")
+    wrong = (
+        F.when(F.coalesce("evidence_id", F.lit("")) == "", "no evidence id").when(F.col("new_id").isNull(), "evidence id does not resolve")
+        .when(~F.contains("evidence", F.col("evidence_id")), "text without its evidence id"))
+    for c in fields:
+        wrong = wrong.when(~F.trim(F.coalesce(c, F.lit(""))).eqNullSafe(F.col(f"__{c}")), f"{c} does not match its evidence")
+    new = F.when(wrong.isNotNull(), F.raise_error(F.concat(wrong, F.lit(": "), F.coalesce("evidence_id", F.lit(""))))).otherwise(F.col("new_id"))
+    checked = {"evidence": F.replace("evidence", F.col("evidence_id"), new), "evidence_id": new}
+    return joined.select(*[checked.get(c, F.col(c)).alias(c) for c in assignments.columns])
 
 
-def guarded(path, species):
-    """A full path without its last rank where no species may be named."""
-    return F.when((F.size(path) == 9) & ~species, F.slice(path, 1, 8)).otherwise(path)
+def quality(outcomes: DataFrame) -> DataFrame:
+    """Counters of a classification in long form: ``counter, value``."""
+    big = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    done = F.col("status") == "classified"
+    counters = {
+        "clusters_total": F.count(F.lit(1)), "img_members_total": big("member_count"), "hits_total": big("returned_hits"), "coverage_filtered_hits": big("covered_too_little"), "eligible_hits": big("eligible_hits"),
+        "candidate_hits": big("candidates"), "clusters_classified": F.count_if(done), "clusters_unclassified": F.count_if(~done), "clusters_truncated": F.count_if(done & F.col("truncated")),
+        "clusters_species_called": F.count_if("species_called"), "assignments_written": big("member_count"),
+    }
+    once = outcomes.agg(*[c.alias(name) for name, c in counters.items()])
+    long = once.select(F.inline(F.array(*[F.struct(F.lit(name).alias("counter"), F.col(name).alias("value")) for name in counters])))
+    kind = F.when(done, F.concat(F.lit("classified_by_domain:"), "domain")).otherwise(F.concat(F.lit("unclassified_by_reason:"), "reason"))
+    return long.unionByName(outcomes.groupBy(kind.alias("counter")).agg(F.count(F.lit(1)).alias("value")))

@@ -1,7 +1,9 @@
 """The operators on tables without biology, each beside its SQL.
 
-Every query runs the operator function that the marker-gene plans use, with
-other columns.
+Every query of an operator runs the function that the marker-gene plans use, with
+other columns.  A few shapes are what Spark has built in and are written out:
+filter_aggs, median_summary, json_props, union_mix, cross_work_items,
+member_propagation and marker_explode_distinct.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from sedimark.operators import lineage as L
 from sedimark.operators import ranking as R
 from sedimark.operators import summaries as A
 from sedimark.operators import trees as T
+from sedimark.sources.text import wanted
 from sedimark.storage import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,31 +73,34 @@ def equal_best(t):
     return R.equal_best(t("lineitem"), ["l_partkey"], "l_quantity", 2)
 
 
-@query("""WITH r AS (SELECT l_partkey, l_returnflag, l_orderkey, l_linenumber, l_suppkey, l_extendedprice,
+@query("""WITH r AS (SELECT l_partkey, l_returnflag, l_orderkey, l_linenumber, l_suppkey, l_extendedprice, max(l_extendedprice) OVER (PARTITION BY l_partkey) AS best,
 row_number() OVER (PARTITION BY l_partkey ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_suppkey) AS rank FROM lineitem),
 s AS (SELECT *, min(rank) OVER (PARTITION BY l_partkey, l_returnflag) AS f FROM r)
-SELECT l_partkey, l_returnflag, l_orderkey, l_extendedprice, rank, concat_ws('|', CASE WHEN rank <= 5 THEN 'top_hit' END, CASE WHEN rank = f THEN 'best_' || l_returnflag END) AS reasons
-FROM s WHERE rank <= 5 OR rank = f""")
+SELECT l_partkey, l_returnflag, l_orderkey, l_linenumber, l_suppkey, l_extendedprice, rank, concat_ws('|', CASE WHEN rank <= 5 THEN 'overall_top_n' END, CASE WHEN l_extendedprice = best THEN 'equal_best_assignment' END, CASE WHEN rank = f THEN 'best_' || l_returnflag END) AS reasons
+FROM s WHERE rank <= 5 OR rank = f OR l_extendedprice = best""")
 def evidence_topn(t):
-    order = [F.desc("l_extendedprice"), F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_suppkey")]
+    order = [-F.col("l_extendedprice"), F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_suppkey")]
     rows = t("lineitem").select("l_partkey", "l_returnflag", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
-    return R.top_with_evidence(rows, ["l_partkey"], order, "l_returnflag", 5).select("l_partkey", "l_returnflag", "l_orderkey", "l_extendedprice", "rank", "reasons")
+    return R.top_with_evidence(rows, ["l_partkey"], order, "l_extendedprice", F.array("l_returnflag"), ["A", "N", "R"], 5)
 
 
 @query("""WITH e AS (SELECT *, CAST(l_extendedprice AS DECIMAL(18,6)) AS p FROM lineitem WHERE l_quantity >= 10),
 w AS (SELECT *, max(p) OVER (PARTITION BY l_partkey) AS best FROM e)
 SELECT l_partkey, l_orderkey, l_suppkey, l_extendedprice FROM w WHERE p >= best * CAST(0.98 AS DECIMAL(3,2))""")
 def candidate_window(t):
-    rows = t("lineitem").select("l_partkey", "l_orderkey", "l_suppkey", "l_extendedprice", "l_quantity")
-    return R.candidate_window(rows, ["l_partkey"], F.col("l_extendedprice"), "0.98", F.col("l_quantity") >= 10).drop("l_quantity")
+    return _candidates(t).select("l_partkey", "l_orderkey", "l_suppkey", "l_extendedprice")
+
+
+def _candidates(t) -> DataFrame:
+    order = [F.desc("l_extendedprice"), F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_quantity")]
+    rows = t("lineitem").select("l_partkey", "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    return R.candidates(rows, ["l_partkey"], F.col("l_extendedprice"), order, "0.98", F.col("l_quantity") >= 10, 5)
 
 
 @query("""WITH r AS (SELECT *, CAST(l_extendedprice AS DECIMAL(18,6)) AS p, row_number() OVER (PARTITION BY l_partkey ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_quantity) AS n FROM lineitem)
-SELECT l_partkey, coalesce(max(CASE WHEN n = 6 THEN p END) >= max(CASE WHEN l_quantity >= 10 THEN p END) * CAST(0.98 AS DECIMAL(3,2)), false) AS truncated FROM r GROUP BY 1""")
+SELECT l_partkey, coalesce(max(CASE WHEN n = 6 THEN p END) >= max(CASE WHEN l_quantity >= 10 THEN p END) * CAST(0.98 AS DECIMAL(3,2)), false) AS truncated FROM r GROUP BY 1 HAVING count(*) FILTER (WHERE l_quantity >= 10) > 0""")
 def truncation_sentinel(t):
-    order = [F.desc("l_extendedprice"), F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_quantity")]
-    rows = t("lineitem").select("l_partkey", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
-    return R.truncation_sentinel(rows, ["l_partkey"], F.col("l_extendedprice"), order, "0.98", F.col("l_quantity") >= 10, 5)
+    return _candidates(t).groupBy("l_partkey").agg(F.bool_or("truncated").alias("truncated"))
 
 
 @query("""SELECT i AS chunk, count(*) AS size, min(doc_id) AS first, max(doc_id) AS last FROM (SELECT doc_id, ntile(7) OVER (ORDER BY doc_id) AS i FROM documents) GROUP BY 1""")
@@ -127,18 +133,14 @@ def boundary_knn_all(t):
 @query("""WITH o AS (SELECT user_id, event_type, value, CAST(floor(value / 10) AS BIGINT) AS item FROM events WHERE event_type IN ('view', 'click')),
 a AS (SELECT *, row_number() OVER (PARTITION BY user_id, item ORDER BY value DESC, event_type) AS n FROM o),
 r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_type, item) AS rank FROM a WHERE n = 1),
-v AS (SELECT user_id, count(*) FILTER (WHERE event_type = 'view') AS views, count(*) FILTER (WHERE event_type = 'click') AS clicks,
-max(value) FILTER (WHERE event_type = 'view') AS best_view, max(value) FILTER (WHERE event_type = 'click') AS best_click FROM r WHERE rank <= 5 GROUP BY 1)
-SELECT user_id, views, clicks, CASE WHEN views > clicks THEN 'view' WHEN clicks > views THEN 'click' WHEN best_click > best_view THEN 'click' ELSE 'view' END AS chosen FROM v""")
+g AS (SELECT user_id, max(value) FILTER (WHERE event_type = 'view') AS best_view, max(value) FILTER (WHERE event_type = 'click') AS best_click FROM o GROUP BY 1),
+v AS (SELECT user_id, count(*) FILTER (WHERE event_type = 'view') AS votes_view, count(*) FILTER (WHERE event_type = 'click') AS votes_click FROM r WHERE rank <= 5 GROUP BY 1)
+SELECT v.*, best_view, best_click, CASE WHEN votes_view > votes_click THEN 'view' WHEN votes_click > votes_view THEN 'click' WHEN best_click > best_view THEN 'click' ELSE 'view' END AS chosen,
+CASE WHEN votes_view <> votes_click THEN 'majority_global_top_hits' WHEN best_view <> best_click THEN 'best_bitscore_tiebreak' ELSE 'detected_model_tiebreak' END AS decision FROM v JOIN g ON g.user_id = v.user_id""")
 def global_merge_vote(t):
     """Two ranked lists merged per user; the majority of the five best decides, then the better score, then the first list."""
     rows = t("events").where(F.col("event_type").isin("view", "click")).select("user_id", "event_type", "value", F.floor(F.col("value") / 10).alias("item"))
-    best = R.merged_ranking(rows, ["user_id"], "item", [F.desc("value"), F.col("event_type"), F.col("item")], 5)
-    of = lambda kind: F.col("event_type") == kind
-    votes = best.groupBy("user_id").agg(F.count_if(of("view")).alias("views"), F.count_if(of("click")).alias("clicks"),
-                                        F.max(F.when(of("view"), F.col("value"))).alias("v"), F.max(F.when(of("click"), F.col("value"))).alias("c"))
-    chosen = F.when(F.col("views") > F.col("clicks"), "view").when(F.col("clicks") > F.col("views"), "click").when(F.col("c") > F.col("v"), "click").otherwise("view")
-    return votes.select("user_id", "views", "clicks", chosen.alias("chosen"))
+    return R.vote(rows, ["user_id"], "item", "event_type", ["view", "click"], [F.desc("value"), F.col("event_type"), F.col("item")], "value", 5)
 
 
 # ---- lineages -------------------------------------------------------------------------------------------------------
@@ -160,8 +162,8 @@ def _paths(t) -> DataFrame:
 
 @query(f"WITH {_PATHS}, b AS (SELECT DISTINCT l_partkey AS k, path AS tax FROM lineitem JOIN p ON l_suppkey = s_suppkey), {_LCA} SELECT k AS l_partkey, lca FROM lca")
 def lca_per_part(t):
-    rows = t("lineitem").select("l_partkey", "l_suppkey").join(_paths(t), F.col("l_suppkey") == F.col("s_suppkey"))
-    return L.lowest_common_ancestor(rows, ["l_partkey"], "path")
+    rows = t("lineitem").select("l_partkey", "l_suppkey").distinct()
+    return L.common_ancestors(rows, "l_suppkey", _paths(t).withColumnRenamed("s_suppkey", "l_suppkey"), ["l_partkey"], "path")
 
 
 @query("""SELECT c_nationkey, CAST(floor(c_acctbal / 100) AS BIGINT) AS band, CASE WHEN count(DISTINCT nullif(c_mktsegment, '')) = 1 THEN max(nullif(c_mktsegment, ''))
@@ -173,11 +175,13 @@ def common_value(t):
 @query(f"""WITH {_PATHS}, m AS (SELECT *, max(l_quantity) OVER (PARTITION BY l_partkey) AS best FROM lineitem),
 h AS (SELECT l_partkey, domain, path FROM m JOIN p ON l_suppkey = s_suppkey WHERE l_quantity = best), b AS (SELECT l_partkey AS k, path AS tax FROM h), {_LCA},
 g AS (SELECT l_partkey, count(DISTINCT domain) AS d, min(domain) AS domain, count(*) AS ties FROM h GROUP BY 1)
-SELECT l_partkey, CASE WHEN d > 1 THEN 'ambiguous' ELSE domain END AS domain, CASE WHEN d > 1 THEN '' WHEN ties > 2 THEN domain ELSE lca END AS taxonomy, ties, ties > 2 AS truncated FROM g JOIN lca ON k = l_partkey""")
+SELECT l_partkey, CASE WHEN d > 1 THEN 'ambiguous' ELSE domain END AS domain, CASE WHEN d > 1 THEN '' WHEN ties > 2 THEN domain ELSE lca END AS taxonomy, ties, ties > 2 AS truncated,
+CASE WHEN d > 1 THEN 'cross_domain_ambiguous_equal_best' WHEN ties > 2 THEN 'truncated_equal_best_lca' ELSE '' END AS assignment_method FROM g JOIN lca ON k = l_partkey""")
 def assign_taxonomy(t):
     """Equally best rows, ambiguity across domains, back-off to the domain when cut off, else the common ancestor."""
     best = R.best_score_rows(t("lineitem").select("l_partkey", "l_suppkey", "l_quantity"), ["l_partkey"], "l_quantity")
-    return L.assign_taxonomy(best.join(_paths(t), F.col("l_suppkey") == F.col("s_suppkey")), ["l_partkey"], "path", "domain", 2)
+    rows = best.join(_paths(t).withColumnRenamed("path", "taxonomy"), F.col("l_suppkey") == F.col("s_suppkey"))
+    return L.assign_taxonomy(rows, ["l_partkey"], 2).select("l_partkey", "domain", "taxonomy", "ties", "truncated", "assignment_method")
 
 
 @query("""WITH q AS (SELECT o_custkey, o_orderstatus, CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 10 ELSE 20 END AS priority FROM orders),
@@ -188,7 +192,7 @@ FROM b WHERE priority = least GROUP BY 1""")
 def preferred_priority(t):
     p = F.col("o_orderpriority")
     priority = F.when(p == "1-URGENT", 0).when(p == "2-HIGH", 10).otherwise(20)
-    return L.preferred(t("orders").select("o_custkey", "o_orderstatus", "o_orderpriority"), ["o_custkey"], priority, "o_orderstatus", "o_orderstatus")
+    return L.preferred(t("orders").select("o_custkey", "o_orderstatus", "o_orderpriority"), ["o_custkey"], priority, "o_orderstatus", "o_orderstatus").drop("paths")
 
 
 @query("""SELECT l_suppkey, array_to_string(list_sort(list(DISTINCT p_brand || ':' || p_partkey)), '|') AS identifiers FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1""")
@@ -232,7 +236,7 @@ SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 @query("SELECT n_nationkey, " + ", ".join(f"count(DISTINCT CASE WHEN c_mktsegment = '{s}' THEN c_custkey END) AS {s}" for s in SEGMENTS) + " FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY 1")
 def category_matrix(t):
     samples = t("nation").select("n_nationkey")
-    return A.category_matrix(t("customer").withColumnRenamed("c_nationkey", "n_nationkey"), "n_nationkey", "c_mktsegment", "c_custkey", samples, SEGMENTS)
+    return A.category_matrix(t("customer").withColumnRenamed("c_nationkey", "n_nationkey"), "n_nationkey", "c_mktsegment", ["c_custkey"], samples, SEGMENTS)
 
 
 # ---- joins and sets -------------------------------------------------------------------------------------------------
@@ -240,22 +244,23 @@ def category_matrix(t):
 
 @query("SELECT l_suppkey, count(*) AS rows, CAST(sum(l_quantity) AS BIGINT) AS quantity FROM lineitem WHERE l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 5) GROUP BY 1")
 def semi_lookup(t):
-    wanted = t("supplier").where("s_nationkey < 5").select(F.col("s_suppkey").alias("l_suppkey"))
+    keys = t("supplier").where("s_nationkey < 5").select(F.col("s_suppkey").alias("l_suppkey"))
     summed = t("lineitem").groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("rows"), F.sum("l_quantity").cast("bigint").alias("quantity"))
-    return summed.join(wanted, "l_suppkey", "left_semi")
+    return wanted(summed, keys, "l_suppkey")
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_totalprice > 150000)")
 def anti_missing(t):
-    return I.missing_parents(t("customer").select("c_custkey"), t("orders").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
+    """Customers without a large order."""
+    large = t("orders").where("o_totalprice > 150000").select(F.col("o_custkey").alias("c_custkey"))
+    return I.missing_parents(t("customer").select("c_custkey"), large, ["c_custkey"])
 
 
 @query("""SELECT doc_id, coalesce(latitude, 0.0) AS latitude, CASE WHEN i.taxon_oid IS NULL THEN 'unknown' ELSE 'located' END AS site FROM documents d
 LEFT JOIN (SELECT taxon_oid, min(latitude) AS latitude FROM img_location GROUP BY 1) i ON d.taxon_oid = i.taxon_oid""")
 def left_default(t):
     sites = t("img_location").groupBy("taxon_oid").agg(F.min("latitude").alias("latitude"), F.lit("located").alias("site"))
-    return t("documents").select("doc_id", "taxon_oid").join(sites, "taxon_oid", "left").select(
-        "doc_id", F.coalesce("latitude", F.lit(0.0)).alias("latitude"), F.coalesce("site", F.lit("unknown")).alias("site"))
+    return I.with_defaults(t("documents").select("doc_id", "taxon_oid"), sites, ["taxon_oid"], {"latitude": 0.0, "site": "unknown"}).drop("taxon_oid")
 
 
 @query("""WITH s AS (SELECT n_regionkey AS r, l_partkey, CAST(sum(l_quantity) AS BIGINT) AS q FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey WHERE n_regionkey IN (0, 1) GROUP BY 1, 2)
@@ -297,9 +302,9 @@ def union_mix(t):
 
 @query("""WITH g AS (SELECT o_custkey, max(o_totalprice) AS best, count(*) AS members FROM orders GROUP BY 1) SELECT o_orderkey, o.o_custkey, best, members FROM orders o JOIN g ON o.o_custkey = g.o_custkey""")
 def member_propagation(t):
-    """Every member gets the outcome of its group."""
-    grouped = t("orders").groupBy("o_custkey").agg(F.max("o_totalprice").alias("best"), F.count(F.lit(1)).alias("members"), F.collect_list("o_orderkey").alias("keys"))
-    return grouped.select(F.explode("keys").alias("o_orderkey"), "o_custkey", "best", "members")
+    """Every member gets the outcome of its group, joined back to it."""
+    outcomes = t("orders").groupBy("o_custkey").agg(F.max("o_totalprice").alias("best"), F.count(F.lit(1)).alias("members"))
+    return t("orders").select("o_orderkey", "o_custkey").join(outcomes, "o_custkey").select("o_orderkey", "o_custkey", "best", "members")
 
 
 # ---- aggregates -----------------------------------------------------------------------------------------------------
@@ -336,8 +341,7 @@ def resolution_report(t):
 @query("""SELECT o_orderstatus, o_orderpriority, count(*) AS rows, CAST(CASE o_orderstatus WHEN 'O' THEN 0 WHEN 'F' THEN 1 ELSE 2 END AS INTEGER) AS place FROM orders GROUP BY 1, 2""")
 def lineage_counts(t):
     place = F.when(F.col("o_orderstatus") == "O", 0).when(F.col("o_orderstatus") == "F", 1).otherwise(2)
-    counted = t("orders").groupBy("o_orderstatus", "o_orderpriority").agg(F.count(F.lit(1)).alias("rows"))
-    return counted.withColumn("place", place).orderBy("place", F.desc("rows"), "o_orderpriority")
+    return A.ordered_counts(t("orders"), ["o_orderstatus", "o_orderpriority"], place, F.col("o_orderpriority"))
 
 
 @query("""WITH c AS (SELECT event_type, count(*) AS n, count(*) FILTER (WHERE value > 100) AS k FROM events GROUP BY 1), p AS (SELECT *, k::DOUBLE / n AS p, 1.959963984540054::DOUBLE AS z FROM c)
@@ -403,12 +407,13 @@ def gap_columns_all(t):
 
 @query("SELECT text, count(*) AS rows FROM documents WHERE text IS NOT NULL GROUP BY 1 HAVING count(*) > 1")
 def integrity_dups(t):
-    return I.duplicate_keys(t("documents").where("text is not null"), ["text"])
+    return I.duplicate_texts(t("documents").where("text is not null"), "text")
 
 
-@query("SELECT DISTINCT l_partkey FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part)")
+@query("SELECT DISTINCT sequence_id FROM taxonomy_assignments WHERE sequence_id IS NOT NULL AND sequence_id NOT IN (SELECT sequence_id FROM sequences WHERE sequence_id IS NOT NULL)")
 def integrity_orphans(t):
-    return I.missing_parents(t("lineitem"), t("part").select(F.col("p_partkey").alias("l_partkey")), ["l_partkey"])
+    """Sequences named by assignments, spelled as they are, that the table of sequences lacks."""
+    return I.missing_parents(t("taxonomy_assignments").where("sequence_id is not null"), t("sequences"), ["sequence_id"])
 
 
 # ---- order-dependent ------------------------------------------------------------------------------------------------

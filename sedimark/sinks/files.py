@@ -44,6 +44,21 @@ def fasta(df: DataFrame, path: str, key: str, sequence: str, width: int = 80, si
     ordered.select(F.concat(F.lit(">"), F.col(key), F.lit("\n"), wrapped(F.col(sequence), width))).write.mode("errorifexists").text(path)
 
 
+def category_table(matrix: DataFrame, path: str, sample: str = "sample") -> None:
+    """A category matrix as one local file: samples in order, categories that any sample has, nothing above the samples.
+
+    Without any category it is an empty line and the samples.  A row is a sample, so the table is written by the driver,
+    row by row.
+    """
+    names = [c for c in matrix.columns if c != sample]
+    any_ = matrix.agg(*[F.max(c).alias(c) for c in names]).first() if names else None
+    held = [c for c in names if any_[c]]
+    with Path(path).open("w", encoding="utf-8", newline="\n") as out:
+        out.write("\t".join(["", *held]) + "\n")
+        for row in matrix.select(sample, *held).orderBy(sample).toLocalIterator():
+            out.write("\t".join([row[0], *[str(v) for v in row[1:]]]) + "\n")
+
+
 def json_lines(df: DataFrame, path: str, keys: Sequence[str], single: bool = False) -> None:
     """Compact JSON with keys in alphabetical order."""
     line = F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"})

@@ -8,7 +8,7 @@ from sedimark.operators import intervals as V
 from sedimark.operators import lineage as L
 from sedimark.operators import ranking as R
 from sedimark.operators import summaries as A
-from sedimark.operators.trees import classify_by_neighbours, distances_from, leaf_distances
+from sedimark.operators.trees import classify_by_neighbours, distances_from, leaf_distances, leaf_mismatches, ranked_neighbours
 
 
 def brute_lca(paths):
@@ -39,7 +39,7 @@ def test_common_value_and_preferred(spark):
     assert {r.k: r.v for r in df.groupBy("k").agg(L.common_value(F.col("v")).alias("v")).collect()} == {"a": "x", "b": "mixed", "c": ""}
     rows = spark.createDataFrame([(1, 0, "Bacteria", "Bacteria;P;C"), (1, 0, "Bacteria", "Bacteria;P;D"), (1, 9, "Archaea", "Archaea"), (2, 5, "Bacteria", "Bacteria"), (2, 5, "Archaea", "Archaea"), (3, 1, "Unclassified", "")], "k int, p int, d string, t string")
     got = {r.k: tuple(r)[1:] for r in L.preferred(rows, ["k"], F.col("p"), "d", "t").collect()}
-    assert got == {1: (0, "Bacteria", "Bacteria;P", 2, False), 2: (5, "ambiguous", "", 2, True), 3: (1, "", "", 1, False)}
+    assert got == {1: (0, "Bacteria", "Bacteria;P", 2, True, False), 2: (5, "ambiguous", "", 2, True, True), 3: (1, "", "", 1, False, False)}
 
 
 def test_contest(spark):
@@ -83,8 +83,10 @@ def test_ranking(spark):
     df = spark.createDataFrame([("q", f"s{i}", float(s), src) for i, (s, src) in enumerate([(9, "A"), (9, "B"), (8, "A"), (7, "C"), (1, "D")])], "q string, s string, bits double, src string")
     assert [tuple(r) for r in R.equal_best(df, ["q"], "bits", 1).collect()] == [("q", 9.0, 2, True)]
     assert R.first_rows(df, ["q"], [F.desc("bits"), F.col("s")], 2).count() == 2
-    found = {r.s: r.reasons for r in R.top_with_evidence(df, ["q"], [F.desc("bits"), F.col("s")], "src", 1).collect()}
-    assert found == {"s0": "top_hit|best_A", "s1": "best_B", "s3": "best_C", "s4": "best_D"}
+    top = R.top_with_evidence(df, ["q"], [-F.col("bits"), F.col("s")], "bits", F.array("src"), ["B", "C", "D", "E"], 1)
+    assert {r.s: (r.rank, r.reasons) for r in top.collect()} == {
+        "s0": (1, "overall_top_n|equal_best_assignment"), "s1": (2, "equal_best_assignment|best_B"), "s3": (4, "best_C"), "s4": (5, "best_D")}
+    assert top.where("false").count() == 0 and R.top_with_evidence(df.limit(0), ["q"], [-F.col("bits"), F.col("s")], "bits", F.array("src"), ["B"], 1).count() == 0
     near = spark.createDataFrame([("t", x, d) for x, d in (("a", 0.1), ("b", 0.2), ("c", 0.2 + 1e-13), ("d", 0.3))], "t string, leaf string, distance double")
     assert sorted(r.leaf for r in R.nearest_with_ties(near, ["t"], "distance", [F.col("leaf")], 2).collect()) == ["a", "b", "c"]
     plan = [tuple(r) for r in R.chunk_plan(spark.range(10).toDF("i"), "i", 4).orderBy("chunk").collect()]
@@ -155,12 +157,22 @@ def test_integrity(spark):
 def test_trees(spark):
     tree = "((q:1,'b c':2)90:0.5,(c:1,d:1.5)80:1[x])root;"
     assert distances_from(tree, "q") == [("b c", 3.0, "90"), ("c", 3.5, "90"), ("d", 4.0, "90")]
+    assert distances_from("(q:1,b:2,(c:1,d:1)80:1)99;", "q")[0] == ("b", 3.0, None)  # the parent is the root, which has no edge
     with pytest.raises(ValueError):
         distances_from(tree, "z")
-    trees = spark.createDataFrame([(1, tree, "q"), (2, None, "q")], "t int, newick string, query string")
-    references = spark.createDataFrame([("b c", "", "PR2", "x"), ("c", "B;P;C", "SILVA", ""), ("d", "B;P;D", "PR2", "plastid")], "leaf string, lineage string, source string, compartment string")
-    got = classify_by_neighbours(leaf_distances(trees, "t", "newick", "query"), references, 2).collect()
-    assert [tuple(r) for r in got] == [(1, "B;P", "PR2|SILVA", "plastid", 2)]
+    trees = spark.createDataFrame([(1, tree, "q"), (2, None, "q"), (3, tree, "q")], "t int, newick string, query string")
+    schema = "tree int, leaf string, hit_rank int, taxonomy string, taxonomy_source string, taxonomy_domain string, compartment string, centroid_taxonomy string, centroid_taxonomy_source string"
+    references = spark.createDataFrame([
+        (1, "b c", 1, "", "PR2", "ambiguous", "x", "B;Z", "PR2"), (1, "c", 2, "B;P", "SILVA", "B", "", "B;P;C", "PR2"), (1, "d", 3, "B;P;D", "PR2", "B", "plastid", "B;P;X", "SILVA"),
+        (3, "b c", 1, "", "", "", "", "", ""), (3, "c", 2, "Unclassified", "", "Unclassified", "", "", ""), (3, "d", 3, "", "", "ambiguous", "", "", "")], schema)
+    ranked = ranked_neighbours(leaf_distances(trees, "t", "newick", "query"), references, 2)
+    got = {(r.tree, r.leaf): (r.neighbour_rank, r.used, ";".join(r.path), r.source, r.basis) for r in ranked.collect()}
+    assert got[1, "b c"] == (1, False, "", "", "ambiguous") and got[1, "c"] == (2, True, "B;P;C", "PR2", "centroid_taxonomy") and got[1, "d"] == (3, True, "B;P;D", "PR2", "preferred_taxonomy")
+    assert got[3, "c"] == (2, False, "", "", "unclassified")
+    rows = {r.tree: tuple(r)[1:] for r in classify_by_neighbours(ranked).collect()}
+    assert rows == {1: ("B;P", "B", "PR2", "plastid", "tree_nearest_named_lca", 2, "b c", 3.0, "90"), 3: ("Unclassified", "Unclassified", "", "", "tree_unclassified_no_named_neighbors", 0, "b c", 3.0, "90")}
+    wrong = leaf_mismatches(leaf_distances(trees, "t", "newick", "query"), references.where("leaf <> 'd'"))
+    assert {k: df.count() for k, df in wrong.items()} == {"leaf without reference": 2, "reference without leaf": 0}
 
 
 def test_newick_distance_reaches_every_leaf(spark, tmp_path):
@@ -169,7 +181,40 @@ def test_newick_distance_reaches_every_leaf(spark, tmp_path):
     rows = [(i, 1) for i in range(1500)] + [(2000, 2), (2001, 2), (3000, 3)]
     spark.createDataFrame(rows, "s_suppkey long, s_nationkey int").write.parquet(str(tmp_path / "supplier.parquet"))
     got = sorted(tuple(r) for r in entry.queries()["newick_distance"](spark, str(tmp_path)).collect())
-    assert got == sorted([(1, f"n{i}", 1.75 + 0.5 * (i - 1), "90") for i in range(1, 1500)] + [(2, "n2001", 1.75, "90")])
+    assert got == sorted([(1, f"n{i}", 1.75 + 0.5 * (i - 1), "90") for i in range(1, 1500)] + [(2, "n2001", 1.75, None)])
+
+
+def test_regions_beside_a_full_hit(spark):
+    """A full hit and two collinear partial hits of one subject: the full one, and one assembled from the others."""
+    schema = "k string, model_from int, model_to int, model_length int, seq_from int, seq_to int, strand string"
+    rows = [("s", 1, 100, 100, 5, 104, "+"), ("s", 1, 40, 100, 200, 239, "+"), ("s", 50, 90, 100, 250, 290, "+")]
+    got = sorted(tuple(r) for r in V.extraction_regions(spark.createDataFrame(rows, schema), ["k"]).collect())
+    assert got == [("s", 5, 104, "+", "simple"), ("s", 200, 290, "+", "assembled")]
+
+
+def test_assignment_from_equally_best_rows(spark):
+    schema = "q string, taxonomy string, domain string, cross_domain_conflict boolean, compartment string, assignment_method string, taxonomy_alternatives string"
+    rows = [
+        ("lca", "Bacteria;P;C", "Bacteria", False, "plastid", "native", ""), ("lca", "Bacteria;P;D", "Bacteria", False, "", "native", ""),
+        ("conflict", "", "ambiguous", True, "mixed", "cross_domain_ambiguous_exact_sequence", '[{"domain":"Archaea","taxonomy":"Ä","n":1}]'),
+        ("two", "Bacteria;P", "Bacteria", False, "plastid", "native", ""), ("two", "", "ambiguous", False, "", "native", ""),
+        ("cut", "Bacteria;P", "Bacteria", False, "plastid", "a", ""), ("cut", "Bacteria;P", "Bacteria", False, "plastid", "b", ""), ("cut", "Bacteria;P", "Bacteria", False, "plastid", "b", ""),
+        ("none", "", "", False, "", "", ""), ("domain", ";x", "Archaea", None, None, None, None), ("domain", None, "Archaea", None, None, None, None)]
+    got = {r.q: (r.domain, r.taxonomy, r.compartment, r.assignment_method, r.ties, r.truncated, r.taxonomy_alternatives) for r in L.assign_taxonomy(spark.createDataFrame(rows, schema), ["q"], 2, alternatives=True).collect()}
+    assert got["lca"] == ("Bacteria", "Bacteria;P", "plastid", "native", 2, False, "")
+    assert got["conflict"] == ("ambiguous", "", "mixed", "cross_domain_ambiguous_exact_sequence", 1, False, '[{"domain":"Archaea","n":"1","taxonomy":"\\u00c4"}]')
+    assert got["two"][:4] == ("ambiguous", "", "mixed", "cross_domain_ambiguous_equal_best") and got["two"][6].startswith('[{"assignment_method":"native","compartment":""') and got["two"][6].count("{") == 2
+    assert got["cut"] == ("Bacteria", "Bacteria", "", "truncated_equal_best_lca", 3, True, "")
+    assert got["none"] == ("", "Unclassified", "", "", 1, False, "") and got["domain"] == ("Archaea", "Archaea", "", "", 2, False, "")
+    wrong = spark.createDataFrame([("w", "", "ambiguous", True, "", "", "{}")], schema)
+    with pytest.raises(Exception, match="JSON array"):
+        L.assign_taxonomy(wrong, ["q"], 2, alternatives=True).collect()
+    assert L.assign_taxonomy(wrong, ["q"], 2, alternatives=True, checked=False).first().taxonomy_alternatives.startswith('[{"assignment_method"')
+
+
+def test_integrity_of_texts(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("b",), (None,), ("",), ("",)], "t string")
+    assert sorted(tuple(r) for r in I.duplicate_texts(df.where("t is not null"), "t").collect()) == [("", 2), ("a", 2)]
 
 
 def test_region_collinear_sees_both_ends(spark, tmp_path):

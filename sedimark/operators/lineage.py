@@ -53,8 +53,12 @@ def lowest_common_ancestor(df: DataFrame, keys: Sequence[str], path: str, name:
 
 
 def common_ancestors(members: DataFrame, item: str, paths: DataFrame, keys: Sequence[str], path: str, name: str = "lca") -> DataFrame:
-    """lowest_common_ancestor of groups whose ``members`` name their paths by ``item``: paths are parsed once each, before they are joined."""
-    parsed = paths.select(item, valid_path(F.col(path)).alias("__p"))
+    """lowest_common_ancestor of groups whose ``members`` name their paths by ``item``: paths are parsed once each, before they are joined.
+
+    The distinct paths are exchanged, so that they are rows when they meet the members; a mere projection would be
+    evaluated anew for every member.
+    """
+    parsed = paths.select(item, valid_path(F.col(path)).alias("__p")).distinct()
     ends = members.select(*keys, item).join(parsed, item).groupBy(*keys).agg(F.min("__p").alias("__a"), F.max("__p").alias("__b"))
     return ends.select(*keys, _joined("__a", "__b").alias(name))
 

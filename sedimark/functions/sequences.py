@@ -95,6 +95,26 @@ def trimmed_alignment(rows: DataFrame, row_id: str, row: str, gap_fraction: floa
     return rows.crossJoin(positions).select(row_id, normal_alignment(piece).alias(row))
 
 
+def alignment_violations(rows: DataFrame, row_id: str, row: str, query: str = "QUERY", least: int = 4) -> dict[str, DataFrame]:
+    """What keeps an alignment from being trimmed: too few rows, rows twice, no query, unequal lengths, characters that code nothing."""
+    from sedimark.operators.integrity import duplicate_keys
+
+    counted = rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(row_id) == query).alias("queries"), F.coalesce(F.min(F.length(row)), F.lit(0)).alias("shortest"), F.coalesce(F.max(F.length(row)), F.lit(0)).alias("longest"))
+    return {
+        "too few rows": counted.where(F.col("rows") < least), "duplicate leaf": duplicate_keys(rows, [row_id]), "no query": counted.where("queries = 0"), "unequal lengths": counted.where("shortest <> longest"),
+        "empty alignment": counted.where("longest = 0"), "unexpected character": rows.where(~normal_alignment(F.col(row)).rlike(r"\A[ACGTRYSWKMBDHVN-]*\z")).select(row_id),
+    }
+
+
+def alignment_quality(rows: DataFrame, row_id: str, row: str, gap_fraction: float, query: str = "QUERY") -> DataFrame:
+    """One row on trimmed_alignment: ``input_columns, retained_columns, removed_insert_columns, removed_high_gap_columns, query_residue_columns``."""
+    columns = alignment_columns(rows, row)
+    keep = ~F.col("inserted") & (F.col("gaps") <= F.col("rows") * gap_fraction)
+    counted = columns.agg(F.count(F.lit(1)).alias("input_columns"), F.count_if(keep).alias("retained_columns"), F.count_if("inserted").alias("removed_insert_columns"))
+    residues = trimmed_alignment(rows, row_id, row, gap_fraction).where(F.col(row_id) == query).agg(F.coalesce(F.sum(F.length(F.replace(row, F.lit("-"), F.lit("")))), F.lit(0)).alias("query_residue_columns"))
+    return counted.crossJoin(residues).withColumn("removed_high_gap_columns", F.col("input_columns") - F.col("removed_insert_columns") - F.col("retained_columns"))
+
+
 def coordinate(text: Column, limit: float) -> Column:
     """A finite coordinate within plus or minus ``limit``, else null."""
     value = F.when(~F.lower(F.trim(text)).isin(*MISSING_COORDINATES), F.trim(text).try_cast("double"))

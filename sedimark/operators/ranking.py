@@ -171,22 +171,27 @@ def _matrix(vectors: pa.ListArray) -> np.ndarray:
     return vectors.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(vectors), -1)
 
 
-def chunk_plan(df: DataFrame, position: str, chunks: int) -> DataFrame:
-    """Contiguous chunks whose sizes differ by one at most, the first ones larger: ``chunk, size, first, last``.
+def chunk_bounds(df: DataFrame, position: str, chunks: int) -> DataFrame:
+    """``df`` with ``chunk``: contiguous chunks by the order of ``position``, whose sizes differ by one at most, the first ones larger.
 
     A window without partitions would gather all rows in one task.  The rows are range partitioned instead; only
-    the number of rows of each partition is needed to know every row's place.
+    the number of rows of each partition is needed to know every row's place, and it is a row a partition.
     """
     from sedimark.operators.ranged import range_sorted
     from sedimark.storage import materialize
 
-    rows = materialize(range_sorted(df.select(F.col(position).alias("p")), [F.col("p")]).select("p", F.spark_partition_id().alias("part")), "chunks")
-    counts = rows.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-    before = counts.alias("a").join(counts.alias("b"), F.col("b.part") < F.col("a.part"), "left").groupBy(F.col("a.part").alias("part")).agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("before"))
-    total = counts.agg(F.sum("n").alias("total"))
-    place = F.row_number().over(Window.partitionBy("part").orderBy("p")) + F.col("before") - 1
-    placed = rows.join(F.broadcast(before), "part").crossJoin(F.broadcast(total)).withColumn("i", place)
-    size, extra = F.floor(F.col("total") / chunks), F.col("total") % chunks
+    rows = materialize(range_sorted(df, [F.col(position)]).select("*", F.spark_partition_id().alias("__part")), "chunks")
+    counts = rows.groupBy("__part").agg(F.count(F.lit(1)).alias("__rows"))
+    before = counts.select("__part", (F.sum("__rows").over(Window.orderBy("__part")) - F.col("__rows")).alias("__before"), F.sum("__rows").over(Window.partitionBy(F.lit(0))).alias("__total"))
+    place = F.row_number().over(Window.partitionBy("__part").orderBy(position)) + F.col("__before") - 1
+    placed = rows.join(F.broadcast(before), "__part").withColumn("__i", place)
+    size, extra = F.floor(F.col("__total") / chunks), F.col("__total") % chunks
     head = extra * (size + 1)
-    chunk = F.when(F.col("i") < head, F.floor(F.col("i") / (size + 1))).otherwise(extra + F.floor((F.col("i") - head) / F.greatest(size, F.lit(1)))) + 1
-    return placed.groupBy(chunk.cast("bigint").alias("chunk")).agg(F.count(F.lit(1)).alias("size"), F.min("p").alias("first"), F.max("p").alias("last"))
+    chunk = F.when(F.col("__i") < head, F.floor(F.col("__i") / (size + 1))).otherwise(extra + F.floor((F.col("__i") - head) / F.greatest(size, F.lit(1)))) + 1
+    return placed.select(*df.columns, chunk.cast("bigint").alias("chunk"))
+
+
+def chunk_plan(df: DataFrame, position: str, chunks: int) -> DataFrame:
+    """``chunk, size, first, last`` of chunk_bounds."""
+    placed = chunk_bounds(df.select(F.col(position).alias("p")), "p", chunks)
+    return placed.groupBy("chunk").agg(F.count(F.lit(1)).alias("size"), F.min("p").alias("first"), F.max("p").alias("last"))

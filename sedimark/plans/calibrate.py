@@ -229,6 +229,31 @@ def classified_clusters(clusters: DataFrame, hits: DataFrame, taxonomy: DataFram
         "rank_cap", F.lit(propagation_cap).cast("int").alias("propagation_cap"))
 
 
+def outcome_violations(outcomes: DataFrame, calibrated: DataFrame, marker: str, propagation_cap: int = 0) -> dict[str, DataFrame]:
+    """Outcomes (see classified_clusters) that do not fit their calibration, by rule.
+
+    A classified one must have strata that all passed, their least cap, and a member taxonomy within ``propagation_cap``;
+    one whose strata failed must have a failed stratum.
+    """
+    held = outcomes.where((F.col("status") == "classified") | (F.col("reason") == "calibration_stratum_failed"))
+    named = held.where("status = 'classified'").select("cluster_id", F.explode(F.split("taxonomy_source", r"\+")).alias("taxonomy_source"), "domain")
+    own = calibrated.where(F.col("marker") == marker).drop("marker")
+    strata_of = named.join(own, ["taxonomy_source", "domain"], "left")
+    least = strata_of.groupBy("cluster_id").agg(F.min("rank_cap").alias("least"))
+    done = outcomes.where("status = 'classified'")
+    depth = lambda c: F.size(F.split(c, ";"))
+    return {
+        "no cluster or centroid": outcomes.where((F.trim(F.coalesce("cluster_id", F.lit(""))) == "") | (F.trim(F.coalesce("centroid", F.lit(""))) == "")).select("cluster_id"),
+        "classified with a reason": done.where("reason <> ''").select("cluster_id", "reason"),
+        "missing stratum": strata_of.where("status is null").select("cluster_id", "taxonomy_source", "domain"),
+        "failed stratum of a classified outcome": strata_of.where("status = 'failed'").select("cluster_id", "taxonomy_source", "domain"),
+        "wrong calibration cap": done.join(least, "cluster_id").where(~F.col("rank_cap").eqNullSafe(F.col("least"))).select("cluster_id", "rank_cap", "least"),
+        "wrong propagation cap": done.where(~F.col("propagation_cap").eqNullSafe(F.lit(propagation_cap))).select("cluster_id", "propagation_cap"),
+        "member taxonomy beyond its cap": done.where((depth("taxonomy") > propagation_cap + 1) | (F.get(F.split("taxonomy", ";"), 0) != F.col("domain"))).select("cluster_id", "taxonomy"),
+        "centroid taxonomy of another domain": done.where((F.get(F.split("centroid_taxonomy", ";"), 0) != F.col("domain")) | (F.col("centroid_taxonomy_source") != F.col("taxonomy_source"))).select("cluster_id", "centroid_taxonomy"),
+    }
+
+
 def with_evidence(outcomes: DataFrame) -> DataFrame:
     """``outcomes`` with ``evidence_id``: ``IMGEV_`` + the SHA-256 of a row's own canonical JSON without names of clusters, centroids and members."""
     shown = sorted(c for c in outcomes.columns if c not in ("cluster_id", "centroid", "members"))

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sedimark import storage
 from sedimark.functions.sequences import content_id, coordinate, stable_id
 from sedimark.functions.text import ascii_escaped
-from sedimark.operators.integrity import IntegrityError, duplicate_keys, missing_parents
+from sedimark.operators.integrity import IntegrityError, duplicate_keys, missing_parents, require
 from sedimark.operators.lineage import AMBIGUOUS, CANDIDATE, MIXED, UNCLASSIFIED, common_value, path_ranks, preferred, shared_prefix, valid_path
+from sedimark.sinks import files
 
 # Priorities of assignments, compartments of the two native sources, methods of derived assignments, columns of locations.
 NATIVE, UPDATED, OTHER = 0, 10, 20
@@ -96,6 +100,11 @@ def derived_assignments(rows: DataFrame, records: DataFrame) -> DataFrame:
     return joined.withColumn("taxonomy_assignment_id", stable_id("TAX_", [F.col(c) for c in parts])).withColumn("domain", F.get(F.split("taxonomy", ";", -1), 0)).select(*ASSIGNMENT)
 
 
+def with_assignments(held: DataFrame, more: DataFrame) -> DataFrame:
+    """Assignments with others added to them; preferred_taxonomy of the result is that of the whole.  release_violations finds ids that are now there twice."""
+    return held.unionByName(more)
+
+
 def locations(rows: DataFrame) -> DataFrame:
     """``taxon_oid, latitude, longitude``, each taxon once; a pair with a coordinate out of range is dropped, not mended.
 
@@ -254,6 +263,40 @@ def release_violations(seqs: DataFrame, records: DataFrame, held: DataFrame, cho
     return rules
 
 
+def build(prepared: DataFrame, folder: str, derived: DataFrame | None = None, places: DataFrame | None = None, single: bool = False) -> dict[str, DataFrame]:
+    """A release from prepared records, derived assignments and location rows: checked, then written below ``folder``.
+
+    The tables are staged, read back and checked against every rule, and only then put in place of what was there; a
+    file that counts them is written last.  Gives the tables as they are read from ``folder``.
+    """
+    spark = prepared.sparkSession
+    seqs, records = sequences(prepared), source_records(prepared)
+    held = assignments(prepared)
+    if derived is not None:
+        require(derived_violations(derived, records))
+        held = with_assignments(held, derived_assignments(derived, records))
+    staging = f"{folder}.{uuid.uuid4().hex}.staging"
+    tables = {"sequences": (seqs, "sequence_id"), "source_records": (records, "source_record_id"), "taxonomy_assignments": (held, "taxonomy_assignment_id")}
+    if places is not None:
+        require(location_violations(places))
+        tables["img_location"] = (locations(places), "taxon_oid")
+    for name, (df, key) in tables.items():
+        files.parquet(df, f"{staging}/{name}", [key], single)
+    read = lambda name, at: spark.read.parquet(f"{at}/{name}")
+    files.parquet(preferred_taxonomy(read("taxonomy_assignments", staging)), f"{staging}/preferred_taxonomy", ["sequence_id"], single)
+    names = [*tables, "preferred_taxonomy"]
+    written = {name: read(name, staging) for name in names}
+    try:
+        require(release_violations(written["sequences"], written["source_records"], written["taxonomy_assignments"], written["preferred_taxonomy"], written.get("img_location")))
+    except IntegrityError:
+        storage.remove(spark, staging)
+        raise
+    counts = {name: df.count() for name, df in written.items()}
+    storage.write_text(spark, f"{staging}/release.json", json.dumps({"rows": counts, "schema_version": 1}, sort_keys=True))
+    storage.publish(spark, staging, folder)
+    return {name: read(name, folder) for name in names}
+
+
 def provenance_counts(records: DataFrame) -> DataFrame:
     """``reference_source, source_version, marker, rows`` of a release, and the same over all markers with an empty marker."""
     by = records.groupBy("reference_source", "source_version", "marker").agg(F.count(F.lit(1)).alias("rows"))

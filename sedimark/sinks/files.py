@@ -12,11 +12,13 @@ import json
 from collections.abc import Sequence
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sedimark.functions.sequences import content_id, wrapped
 from sedimark.operators.integrity import duplicate_keys, require
+from sedimark.plans.annotate import hit_table
 
 
 def _ordered(df: DataFrame, keys: Sequence[str], single: bool) -> DataFrame:
@@ -59,12 +61,75 @@ def category_table(matrix: DataFrame, path: str, sample: str = "sample") -> None
             out.write("\t".join([row[0], *[str(v) for v in row[1:]]]) + "\n")
 
 
+def _sorted(column: Column, kind: T.DataType) -> Column:
+    """A value with the members of every structure in it in alphabetical order."""
+    if isinstance(kind, T.StructType):
+        members = F.struct(*[_sorted(column[f.name], f.dataType).alias(f.name) for f in sorted(kind.fields, key=lambda f: f.name)])
+        return F.when(column.isNotNull(), members)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(column, lambda x: _sorted(x, kind.elementType))
+    if isinstance(kind, T.MapType):
+        return F.map_from_entries(F.array_sort(F.map_entries(column)))
+    return column
+
+
 def json_lines(df: DataFrame, path: str, keys: Sequence[str], single: bool = False) -> None:
-    """Compact JSON with keys in alphabetical order."""
-    line = F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"})
+    """Compact JSON with keys in alphabetical order, at every level."""
+    line = F.to_json(_sorted(F.struct(*df.columns), df.schema), {"ignoreNullFields": "false"})
     _ordered(df, keys, single).select(line).write.mode("errorifexists").text(path)
 
 
+def extraction(records: DataFrame, samples: DataFrame, folder: str) -> None:
+    """The three results of an extraction below ``folder``: sequences, table of hits and the pairs of sample and model that were searched.
+
+    ``samples`` has every pair, also those without a hit, so the last is complete however little was found.
+    """
+    rows = records.orderBy("sample", "model", "subject", "start", "end", "strand")
+    rows.select(F.concat(F.lit(">"), "name", F.lit("\n"), "sequence")).write.mode("errorifexists").text(f"{folder}/sequences")
+    order = lambda i: F.get(F.split("coordinates", "-"), i).cast("bigint")
+    hit_table(records).orderBy("sample", "model", "contig_name", order(0), order(1), "strand").write.mode("errorifexists").option("sep", "\t").option("header", True).option("quote", "").option("emptyValue", "").csv(f"{folder}/hits")
+    tsv(samples.select("sample", "model").distinct(), f"{folder}/samples", ["sample", "model"])
+
+
+def concatenated(spark: SparkSession, path: str | list[str], target: str) -> None:
+    """The lines of all files in the order of their names, each file's in its own order, as one table of text.
+
+    Line numbers are Spark's own, which rise within a file.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("line"))
+    lines.orderBy("file", "line").select("value").write.mode("errorifexists").text(target)
+
+
+def evidence_catalog(decisions: DataFrame, path: str) -> None:
+    """``evidence_id, decision`` as JSON lines in the order of the ids, after one line that says how many there are and what they leave out."""
+    spark = decisions.sparkSession
+    privacy = {k: False for k in ("centroid_ids_packaged", "cluster_ids_packaged", "img_member_ids_packaged", "raw_cluster_tables_packaged")}
+    header = json.dumps({"evidence_records": decisions.count(), "privacy": privacy, "record_type": "catalog", "schema_version": 1}, sort_keys=True, separators=(",", ":"))
+    digest = F.substring("evidence_id", F.length(F.lit("IMGEV_")) + 1, F.lit(64))
+    body = decisions.select(F.lit(1).alias("part"), "evidence_id", F.concat(F.lit('{"content_sha256":"'), digest, F.lit('","decision":'), "decision", F.lit(',"evidence_id":"'), "evidence_id", F.lit('","record_type":"evidence"}')).alias("value"))
+    first = spark.createDataFrame([(0, "", header)], "part int, evidence_id string, value string")
+    first.unionByName(body).orderBy("part", "evidence_id").select("value").write.mode("errorifexists").text(path)
+
+
+def archive(folder: str, target: str, level: int = 19) -> str:
+    """A local folder as a Zstandard-compressed tar that is the same for the same files: names in order, no times, no owners.  Gives its SHA-256."""
+    import io
+    import tarfile
+
+    import zstandard
+
+    root = Path(folder)
+    draft = Path(target + ".draft")
+    with draft.open("wb") as raw, zstandard.ZstdCompressor(level=level).stream_writer(raw, closefd=False) as packed, tarfile.open(fileobj=packed, mode="w|", format=tarfile.PAX_FORMAT) as tar:
+        for p in sorted(q for q in root.rglob("*") if q.is_file()):
+            info = tarfile.TarInfo(f"{root.name}/{p.relative_to(root).as_posix()}")
+            info.size, info.mode, info.mtime, info.uid, info.gid = p.stat().st_size, 0o644, 0, 0, 0
+            with p.open("rb") as f:
+                tar.addfile(info, io.BufferedReader(f))
+    draft.replace(target)
+    return hashlib.sha256(Path(target).read_bytes()).hexdigest()
+
+
 def write_manifest(folder: str, name: str = "manifest.json") -> dict:
     """List every file of a local release folder with size and SHA-256; written last, so a reader that finds it finds all."""
     root = Path(folder)

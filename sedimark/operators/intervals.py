@@ -2,45 +2,58 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sedimark.operators.ranged import carried_by_key, range_sorted
+from sedimark.storage import materialize
 
-def overlapping_pairs(df: DataFrame, keys: Sequence[str], row_id: str, start: str, end: str, slices: Column | None = None, width: int | None = None) -> DataFrame:
+
+def overlapping_pairs(df: DataFrame, keys: Sequence[str], row_id: str, start: str, end: str, width: int) -> DataFrame:
     """Pairs of rows of one key whose closed intervals overlap, once each: ``keys, left, right`` with left < right.
 
-    With ``width`` each interval is cut into the slices of that length it touches and joined per (key, slice), so a key
-    with many intervals meets only its neighbours; a pair is taken in the first slice both touch.
+    Each interval is cut into the slices of length ``width`` it touches and joined per (key, slice), so a key with many
+    intervals meets only its neighbours; a pair is taken in the first slice both touch.  Rows with a null in a key or an
+    end, or with an end before its start, overlap nothing.
     """
     rows = df.select(*keys, F.col(row_id).alias("id"), F.col(start).alias("s"), F.col(end).alias("e")).where("s <= e")
-    on = list(keys)
-    if width:
-        cut = lambda c: F.floor(F.col(c) / width)
-        rows = rows.withColumn("__slice", F.explode(F.sequence(cut("s"), cut("e"))))
-        on.append("__slice")
+    cut = lambda c: F.floor(F.col(c) / width)
+    rows = rows.withColumn("__slice", F.explode(F.sequence(cut("s"), cut("e"))))
     a, b = rows.alias("a"), rows.alias("b")
     condition = (F.col("a.id") < F.col("b.id")) & (F.col("a.s") <= F.col("b.e")) & (F.col("b.s") <= F.col("a.e"))
-    for k in on:
+    for k in (*keys, "__slice"):
         condition = condition & (F.col(f"a.{k}") == F.col(f"b.{k}"))
-    if width:
-        condition = condition & (F.col("a.__slice") == F.floor(F.greatest("a.s", "b.s") / width))
+    condition = condition & (F.col("a.__slice") == F.floor(F.greatest("a.s", "b.s") / width))
     return a.join(b, condition).select(*[F.col(f"a.{k}").alias(k) for k in keys], F.col("a.id").alias("left"), F.col("b.id").alias("right"))
 
 
-def islands(df: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
+def islands(df: DataFrame, keys: Sequence[str], start: str, end: str, partitions: int | None = None) -> DataFrame:
     """``df`` with ``island``: the start of the chain of overlapping intervals a row belongs to.
 
-    Intervals of different islands never overlap, so a contest can be settled island by island.
+    Intervals of different islands never overlap, so a contest can be settled island by island.  The rows are sorted
+    over all partitions, and a key that fills many of them is never gathered: what it brings along from earlier
+    partitions (how far its intervals reach, where its last island began) is a row for each of them.
     """
-    from pyspark.sql import Window
+    part = "__part"
+    rows = materialize(range_sorted(df, [*[F.col(k) for k in keys], F.col(start), F.col(end)], partitions).select("*", F.spark_partition_id().alias(part)), "islands")
+    group = [part, *keys]
+    inside = Window.partitionBy(*group).orderBy(start, end)
+
+    def inherited(summary: DataFrame, value: Column, name: str) -> DataFrame:
+        return F.broadcast(carried_by_key(summary, part, list(keys), value).withColumnRenamed("carried", name))  # at most a row a partition
 
-    before = Window.partitionBy(*keys).orderBy(start, end).rowsBetween(Window.unboundedPreceding, -1)
-    fresh = F.when(F.coalesce(F.max(end).over(before) >= F.col(start), F.lit(False)), None).otherwise(F.col(start))
-    return df.withColumn("__fresh", fresh).withColumn(
-        "island", F.last("__fresh", ignorenulls=True).over(Window.partitionBy(*keys).orderBy(start, end).rowsBetween(Window.unboundedPreceding, 0))).drop("__fresh")
+    reach = rows.groupBy(*group).agg(F.max(end).alias("__reach"))
+    known = rows.join(inherited(reach, F.max("__reach"), "__before"), group, "left")
+    running = F.greatest(F.max(end).over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.col("__before"))
+    marked = known.withColumn("__running", running).withColumn("__fresh", F.when(F.coalesce(F.col("__running") >= F.col(start), F.lit(False)), None).otherwise(F.col(start)))
+    begun = marked.groupBy(*group).agg(F.max("__fresh").alias("__begun"))
+    whole = marked.join(inherited(begun, F.max("__begun"), "__last"), group, "left")
+    here = F.last("__fresh", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    return whole.withColumn("island", F.coalesce(here, F.col("__last"))).select(*df.columns, "island")
 
 
 class Contest(ValueError):
@@ -55,18 +68,27 @@ def settle(hits: list[dict], rivals: frozenset[str] | None = None) -> list[dict]
     """
     order = sorted(hits, key=lambda h: (h["e_value"], -h["bit_score"], h["start"], h["end"], h["model"], h["hit"]))
     accepted: list[dict] = []
+    starts: list[int] = []  # of the accepted hits, in order, with the hits themselves beside them
+    placed: list[dict] = []
+    longest = 0
     for hit in order:
-        over = [a for a in accepted if a["model"] != hit["model"] and a["start"] <= hit["end"] and hit["start"] <= a["end"]]
+        # none that starts further before the hit than the longest is long can reach it
+        low, high = bisect_left(starts, hit["start"] - longest), bisect_right(starts, hit["end"])
+        over = [a for a in placed[low:high] if a["model"] != hit["model"] and hit["start"] <= a["end"]]
         if rivals is not None and any(hit["model"] not in rivals or a["model"] not in rivals for a in over):
             raise Contest(f"overlapping hits of models that do not compete: {hit}")
         if rivals is not None and any((a["e_value"], a["bit_score"]) == (hit["e_value"], hit["bit_score"]) for a in over):
             raise Contest(f"overlapping hits tie: {hit}")
         if not over:
             accepted.append(hit)
+            at = bisect_right(starts, hit["start"])
+            starts.insert(at, hit["start"])
+            placed.insert(at, hit)
+            longest = max(longest, hit["end"] - hit["start"])
     return accepted
 
 
-def greedy_overlap(df: DataFrame, keys: Sequence[str], hit: str, model: str, start: str, end: str, e_value: Column, bit_score: Column, rivals: frozenset[str] | None = None) -> DataFrame:
+def greedy_overlap(df: DataFrame, keys: Sequence[str], hit: str, model: str, start: str, end: str, e_value: Column, bit_score: Column, rivals: frozenset[str] | None = None, partitions: int | None = None) -> DataFrame:
     """``keys, hit`` of the hits that win the contest (see settle), island by island of each key."""
     rows = df.select(*keys, F.col(hit).alias("hit"), F.col(model).cast("string").alias("model"), F.col(start).cast("bigint").alias("start"),
                      F.col(end).cast("bigint").alias("end"), e_value.cast("double").alias("e_value"), bit_score.cast("double").alias("bit_score"))
@@ -89,8 +111,7 @@ def greedy_overlap(df: DataFrame, keys: Sequence[str], hit: str, model: str, sta
         if island:
             yield pa.RecordBatch.from_pylist(settle(island, rivals), schema=pa.schema([batch.schema.field(n) for n in names]))
 
-    # one shuffle: the windows, the sort and the contest all work on rows partitioned by the keys
-    return islands(rows.repartition(*keys), keys, "start", "end").sortWithinPartitions(*keys, "start", "end").mapInArrow(contest, schema)
+    return islands(rows, keys, "start", "end", partitions).repartition(*group).sortWithinPartitions(*group, "start", "end").mapInArrow(contest, schema)
 
 
 def collinear(fragments: Column, model_from: str = "model_from", model_to: str = "model_to", seq_from: str = "seq_from", seq_to: str = "seq_to", strand: str = "strand") -> Column:

@@ -79,6 +79,24 @@ def test_regions(spark):
                    ("minus", 160, 300, "-", "assembled"), ("one", 13, 60, "-", "simple"), ("strands", 10, 49, "+", "simple"), ("strands", 200, 240, "-", "simple")]
 
 
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_contest_of_a_hot_key(spark, partitions):
+    """A key that fills many partitions, with islands that go over their edges, against the contest of all its hits at once."""
+    r = random.Random(11)
+    rows = [(r.choice(["hot", "hot", "hot", "other"]), i, r.choice("AB"), s := r.randrange(2000), s + r.randrange(1, 60), float(r.randrange(1000)), float(i)) for i in range(900)]
+    df = spark.createDataFrame(rows, "s string, hit long, model string, a int, b int, e double, bits double")
+    won = V.greedy_overlap(df, ["s"], "hit", "model", "a", "b", F.col("e"), F.col("bits"), partitions=partitions)
+    expected = set()
+    for key in ("hot", "other"):
+        hits = [{"hit": h, "model": m, "start": a, "end": b, "e_value": e, "bit_score": x} for s, h, m, a, b, e, x in rows if s == key]
+        accepted = []
+        for hit in sorted(hits, key=lambda h: (h["e_value"], -h["bit_score"], h["start"], h["end"], h["model"], h["hit"])):
+            if not any(x["model"] != hit["model"] and x["start"] <= hit["end"] and hit["start"] <= x["end"] for x in accepted):
+                accepted.append(hit)
+        expected |= {(key, x["hit"]) for x in accepted}
+    assert {tuple(x) for x in won.collect()} == expected
+
+
 def test_ranking(spark):
     df = spark.createDataFrame([("q", f"s{i}", float(s), src) for i, (s, src) in enumerate([(9, "A"), (9, "B"), (8, "A"), (7, "C"), (1, "D")])], "q string, s string, bits double, src string")
     assert [tuple(r) for r in R.equal_best(df, ["q"], "bits", 1).collect()] == [("q", 9.0, 2, True)]

@@ -102,7 +102,31 @@ _BAD = (
     "SELECT 'raw_headers' AS table_name, row_id FROM raw WHERE NOT coalesce(good, false) UNION ALL SELECT 'source_records', row_id FROM rec WHERE NOT coalesce(good, false)"
 )
 
+_REASON = (
+    "CASE WHEN h IS NULL OR NOT regexp_matches(h, '\\S') THEN 'empty_header' "
+    "WHEN src = 'PR2' THEN CASE WHEN len(string_split(h, '|')) <> 13 THEN 'field_count' WHEN NOT regexp_full_match(split_part(h, '|', 1), '.+\\.[0-9]+\\.[0-9]+_.+', 's') THEN 'identifier' "
+    "WHEN NOT (" + _GENE + ") THEN 'gene' WHEN NOT regexp_matches(split_part(h, '|', 5), '\\S') THEN 'domain' END "
+    "WHEN src = 'SILVA' THEN CASE WHEN instr(h, ' ') < 2 OR NOT regexp_matches(substr(h, 1, instr(h, ' ') - 1), '\\S') THEN 'identifier' WHEN NOT regexp_matches(substr(h, instr(h, ' ') + 1), '[^\\s;]') THEN 'lineage' END "
+    "WHEN src = 'IMG' THEN CASE WHEN NOT regexp_matches(h, '^\\s*IMG_[0-9]+(?:[._|]|\\s|$)') THEN 'identifier' END ELSE 'unknown_source' END"
+)
+_IDENTIFIER = "CASE src WHEN 'PR2' THEN split_part(h, '|', 1) WHEN 'SILVA' THEN split_part(h, ' ', 1) ELSE regexp_extract(h, '^\\s*(\\S+)', 1) END"
+_TAXONOMY = (
+    "CASE src WHEN 'PR2' THEN array_to_string(list_transform(string_split(h, '|')[5:13], lambda x: trim(x)), ';') "
+    "WHEN 'SILVA' THEN array_to_string(list_filter(list_transform(string_split(substr(h, instr(h, ' ') + 1), ';'), lambda x: trim(x)), lambda x: regexp_matches(x, '\\S')), ';') END"
+)
+_CLASSIFIED = (
+    _BAD[:_BAD.index("raw AS (")]
+    + "g AS (SELECT v.*, line, NOT coalesce(regexp_matches(line, '\\S'), false) AS blank, regexp_full_match(line, '(?:" + _FIELD + ",)*" + _FIELD + "', 's') AS strict, "
+    "len(string_split(regexp_replace(line, '\"(?:[^\"]|\"\")*\"', 'q', 'g'), ',')) AS fields, " + _REASON + " AS wrong FROM v JOIN raw_headers USING (row_id)), "
+    "k AS (SELECT 'raw_headers' AS table_name, row_id, CASE WHEN blank THEN 'empty_line' WHEN NOT strict THEN 'quoting' WHEN fields <> 5 THEN 'field_count' WHEN NOT regexp_full_match(f2, '[0-9]+(\\.[0-9]+)*') THEN 'version' "
+    "WHEN f3 NOT IN ('16S', '18S') THEN 'marker' WHEN NOT regexp_full_match(f4, '0*[1-9][0-9]*') THEN 'length' WHEN wrong IS NOT NULL THEN 'header:' || wrong WHEN f1 <> " + _IDENTIFIER + " THEN 'identifier_mismatch' END AS reason, "
+    + _IDENTIFIER + " AS identifier, " + _TAXONOMY + " AS taxonomy FROM g UNION ALL "
+    "SELECT 'source_records', row_id, " + _REASON + ", " + _IDENTIFIER + ", " + _TAXONOMY + " FROM (SELECT row_id, reference_source AS src, CASE WHEN starts_with(original_header, '>') THEN substr(original_header, 2) ELSE original_header END AS h FROM source_records)) "
+)
+
 ORACLES = {
+    "p4_rejects": _CLASSIFIED + "SELECT table_name, row_id, reason FROM k WHERE reason IS NOT NULL",
+    "p4_valid": _CLASSIFIED + "SELECT table_name, row_id, identifier, taxonomy FROM k WHERE reason IS NULL",
     "p3_found": _ORPHANS + "SELECT * FROM o",
     "p3_report": _ORPHANS + "SELECT table_name, field_name, period, count(*) AS orphans FROM o GROUP BY ALL",
     "p4_found": _BAD,

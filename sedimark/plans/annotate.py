@@ -14,6 +14,7 @@ from sedimark.operators import ranking as R
 from sedimark.operators.intervals import extraction_regions, greedy_overlap
 from sedimark.operators.lineage import UNCLASSIFIED, assign_taxonomy
 from sedimark.operators.summaries import category_matrix
+from sedimark.storage import materialize
 
 # Models that compete for a locus, what counts as an extraction, columns of the reports, categories in their order.
 MODELS = {"RF00177": "SSU_rRNA_bacteria", "RF01960": "SSU_rRNA_eukarya"}
@@ -173,8 +174,8 @@ def annotated(queries: DataFrame, hits: DataFrame, taxonomy: DataFrame, labels:
     assignment.  Adds ``subject, bit_score, percent_identity, alignment_length``, the assignment, the centroid columns
     of the best subject and its ``identifiers, versions``; texts of queries without hits are empty.
     """
-    best = R.best_score_rows(hits, ["query"], "bit_score")
-    first = R.first_rows(best, ["query"], hit_order()).select("query", "subject", "bit_score", "percent_identity", "alignment_length")
+    best = materialize(R.best_score_rows(hits, ["query"], "bit_score").select("query", "subject", "bit_score", "percent_identity", "alignment_length"), "best-hits")  # read three times
+    first = R.first_rows(best, ["query"], hit_order())
     known = taxonomy.withColumnRenamed("sequence_id", "subject")
     tied = best.select("query", "subject").join(known.withColumn("__known", F.lit(True)), "subject", "left")
     if checked:

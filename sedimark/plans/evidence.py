@@ -13,7 +13,7 @@ from sedimark.functions.ids import canonical_record_id, canonical_sequence_id, c
 from sedimark.operators import ranking as R
 from sedimark.operators.lineage import path_ranks
 from sedimark.plans import annotate, calibrate, release
-from sedimark.storage import table
+from sedimark.storage import materialize, table
 
 LIMIT = 20  # ties beyond which the assignment is cut off; the search keeps 500, of which these tables have none
 
@@ -28,7 +28,8 @@ def _hits(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _pairs(spark: SparkSession, folder: str) -> DataFrame:
-    return annotate.best_pairs(_hits(spark, folder).select("query", "subject", "bit_score", "percent_identity", "alignment_length"))
+    """Each pair of the search once, as a table, because every plan on them reads them several times."""
+    return materialize(annotate.best_pairs(_hits(spark, folder).select("query", "subject", "bit_score", "percent_identity", "alignment_length")), "pairs")
 
 
 def _preferred(spark: SparkSession, folder: str) -> DataFrame:
@@ -107,7 +108,8 @@ def _decimals(hits: DataFrame) -> DataFrame:
 
 
 def _search(spark: SparkSession, folder: str) -> DataFrame:
-    return annotate.best_pairs(_decimals(_hits(spark, folder)))
+    """As _pairs, with exact decimals and lengths."""
+    return materialize(annotate.best_pairs(_decimals(_hits(spark, folder))), "search")
 
 
 def classified_clusters(spark: SparkSession, folder: str) -> DataFrame:

@@ -57,6 +57,11 @@ def hit_order() -> list:
 # ---- extraction -----------------------------------------------------------------------------------------------------
 
 
+def work_items(samples: DataFrame, models: DataFrame) -> DataFrame:
+    """Every sample with every model, each with its own columns; the models are a configuration of a few rows."""
+    return samples.crossJoin(models)
+
+
 def accepted_hits(hits: DataFrame, rivals: frozenset[str] | None = RIVALS) -> DataFrame:
     """Included hits that win the contest of overlapping models, per sample, subject and strand."""
     rows = hits.where("included").withColumn("__hit", F.monotonically_increasing_id()).withColumn("__model", F.coalesce("model_accession", "model"))

@@ -2,8 +2,7 @@
 
 Every query of an operator runs the function that the marker-gene plans use, with
 other columns.  A few shapes are what Spark has built in and are written out:
-filter_aggs, median_summary, json_props, union_mix, cross_work_items,
-member_propagation and marker_explode_distinct.
+filter_aggs, median_summary, json_props, union_mix, member_propagation and marker_explode_distinct.
 """
 
 from __future__ import annotations
@@ -20,6 +19,7 @@ from sedimark.operators import lineage as L
 from sedimark.operators import ranking as R
 from sedimark.operators import summaries as A
 from sedimark.operators import trees as T
+from sedimark.plans.annotate import work_items
 from sedimark.sources.text import wanted
 from sedimark.storage import table
 
@@ -275,7 +275,7 @@ def full_outer_diff(t):
 @query("SELECT n_nationkey, r_regionkey, n_name || '/' || r_name AS item FROM nation, region")
 def cross_work_items(t):
     """Every sample with every model; the models are a configuration of a few rows."""
-    return t("nation").crossJoin(F.broadcast(t("region"))).select("n_nationkey", "r_regionkey", F.concat_ws("/", "n_name", "r_name").alias("item"))
+    return work_items(t("nation"), t("region")).select("n_nationkey", "r_regionkey", F.concat_ws("/", "n_name", "r_name").alias("item"))
 
 
 @query("""WITH o AS (SELECT o_custkey, o_orderkey, date_diff('day', TIMESTAMP '1970-01-01', o_orderdate) AS s FROM orders)

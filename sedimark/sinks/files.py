@@ -130,17 +130,21 @@ def archive(folder: str, target: str, level: int = 19) -> str:
     return hashlib.sha256(Path(target).read_bytes()).hexdigest()
 
 
+def _digest(path: Path) -> str:
+    digest = hashlib.sha256()
+    with path.open("rb") as f:
+        while block := f.read(1 << 20):
+            digest.update(block)
+    return digest.hexdigest()
+
+
 def write_manifest(folder: str, name: str = "manifest.json") -> dict:
     """List every file of a local release folder with size and SHA-256; written last, so a reader that finds it finds all."""
     root = Path(folder)
     files = []
     for p in sorted(root.rglob("*")):
         if p.is_file() and p.name != name and not p.name.startswith((".", "_")):
-            digest = hashlib.sha256()
-            with p.open("rb") as f:
-                while block := f.read(1 << 20):
-                    digest.update(block)
-            files.append({"path": str(p.relative_to(root)), "bytes": p.stat().st_size, "sha256": digest.hexdigest()})
+            files.append({"path": str(p.relative_to(root)), "bytes": p.stat().st_size, "sha256": _digest(p)})
     manifest = {"files": files, "schema_version": 1}
     target = root / name
     draft = target.with_suffix(".tmp")
@@ -150,11 +154,16 @@ def write_manifest(folder: str, name: str = "manifest.json") -> dict:
 
 
 def check_manifest(folder: str, name: str = "manifest.json") -> list[str]:
-    """Files that are missing or differ from the manifest."""
+    """Files that are missing or differ from the manifest, files it does not list, and paths in it that lead out of the folder."""
     root = Path(folder)
-    wrong = []
-    for f in json.loads((root / name).read_text(encoding="utf-8"))["files"]:
+    listed = json.loads((root / name).read_text(encoding="utf-8"))["files"]
+    wrong, known = [], set()
+    for f in listed:
         p = root / f["path"]
-        if not p.is_file() or p.stat().st_size != f["bytes"] or hashlib.sha256(p.read_bytes()).hexdigest() != f["sha256"]:
+        known.add(f["path"])
+        if Path(f["path"]).is_absolute() or ".." in Path(f["path"]).parts:
+            wrong.append(f["path"])
+        elif not p.is_file() or p.stat().st_size != f["bytes"] or _digest(p) != f["sha256"]:
             wrong.append(f["path"])
-    return wrong
+    there = {str(p.relative_to(root)) for p in root.rglob("*") if p.is_file() and p.name != name and not p.name.startswith((".", "_"))}
+    return wrong + sorted(there - known)

@@ -25,19 +25,35 @@ def _base(records: DataFrame, source: str) -> DataFrame:
     return records.select(F.col("header"), sequence.alias("sequence"), content_id(sequence).alias("sequence_id"), parsed_header(F.col("header"), F.lit(source)).alias("h")).where("h.reason is null")
 
 
+def header_violations(records: DataFrame, source: str) -> DataFrame:
+    """``file, header, reason`` of records whose header breaks the format of ``source``; the adapters leave them out."""
+    return records.select("file", "header", parsed_header(F.col("header"), F.lit(source))["reason"].alias("reason")).where("reason is not null")
+
+
+def silva_lineages(lineages: DataFrame, ranks: DataFrame) -> DataFrame:
+    """``lineage, taxonomy`` of distinct ``;``-joined lineages of prokaryotes: their path on the six fixed ranks, gaps empty.
+
+    Every prefix of a lineage is looked up in the rank table; the first taxon of a rank wins.  A lineage whose domain
+    the table does not know is an error.
+    """
+    parts = lineages.select("lineage").distinct().withColumn("r", F.split("lineage", ";"))
+    prefix = F.transform(F.sequence(F.lit(1), F.size("r")), lambda i: F.struct(i.alias("depth"), F.array_join(F.slice("r", F.lit(1), i), ";").alias("path"), F.get("r", i - 1).alias("taxon")))
+    named = parts.select("lineage", F.inline(prefix)).join(ranks.select("path", "rank"), "path", "left")
+    slot = lambda r: F.coalesce(F.min_by("taxon", F.when(F.col("rank") == r, F.col("depth"))), F.lit("")).alias(r)
+    grouped = named.groupBy("lineage").agg(*[slot(r) for r in SILVA_RANKS])
+    domain = F.when(F.col("domain") == "", F.raise_error(F.concat(F.lit("rank table without the domain of "), "lineage"))).otherwise(F.col("domain"))
+    return grouped.select("lineage", F.regexp_replace(F.concat_ws(";", domain, *SILVA_RANKS[1:]), ";+$", "").alias("taxonomy"))
+
+
 def silva_records(records: DataFrame, ranks: DataFrame, version: str) -> DataFrame:
-    """SILVA records of prokaryotes with their path projected to the six fixed ranks, gaps empty.
+    """SILVA records of prokaryotes, repeated ones too, with their path projected by silva_lineages.
 
-    Every prefix of the path is looked up in the rank table (a dimension of some ten thousand rows, joined as Spark
-    decides); the first taxon of a rank wins.
+    Only distinct lineages are projected; sequences are not shuffled for it.
     """
-    base = _base(records, "SILVA").withColumn("ranks", F.split("h.taxonomy", ";")).where(F.get("ranks", 0).isin(*PROKARYOTES))
-    base = base.withColumn("prefix", F.explode(F.transform(F.sequence(F.lit(1), F.size("ranks")), lambda i: F.struct(i.alias("depth"), F.array_join(F.slice("ranks", F.lit(1), i), ";").alias("path"), F.get("ranks", i - 1).alias("taxon")))))
-    named = base.join(ranks.select(F.col("path").alias("p"), "rank"), F.col("prefix.path") == F.col("p"), "left")
-    slot = lambda r: F.coalesce(F.min_by("prefix.taxon", F.when(F.col("rank") == r, F.col("prefix.depth"))), F.lit(""))
-    grouped = named.groupBy("header", "sequence", "sequence_id", F.col("h.identifier").alias("source_identifier")).agg(F.regexp_replace(F.concat_ws(";", *[slot(r) for r in SILVA_RANKS]), ";+$", "").alias("taxonomy"))
-    return grouped.select(F.lit("SILVA").alias("reference_source"), F.lit(version).alias("source_version"), "source_identifier", F.col("header").alias("original_header"), F.lit("16S").alias("marker"),
-                          "sequence_id", "sequence", "taxonomy", F.lit("").alias("compartment"), F.lit("native").alias("assignment_method"))
+    base = _base(records, "SILVA").withColumn("lineage", F.col("h.taxonomy")).where(F.get(F.split("lineage", ";"), 0).isin(*PROKARYOTES))
+    named = base.join(silva_lineages(base, ranks), "lineage")
+    return named.select(F.lit("SILVA").alias("reference_source"), F.lit(version).alias("source_version"), F.col("h.identifier").alias("source_identifier"), F.col("header").alias("original_header"),
+                        F.lit("16S").alias("marker"), "sequence_id", "sequence", "taxonomy", F.lit("").alias("compartment"), F.lit("native").alias("assignment_method"))
 
 
 def pr2_records(records: DataFrame, version: str) -> DataFrame:

@@ -109,12 +109,13 @@ def cluster_violations(rows: DataFrame) -> dict[str, DataFrame]:
 
 
 def rank_table(spark: SparkSession, path: str) -> DataFrame:
-    """``path, rank`` of a TSV of taxon paths, in one spelling; a path with two ranks is an error."""
+    """``path, rank`` of a TSV of taxon paths, in one spelling; a row without path or rank, or a path with two ranks, is an error."""
     rows = delimited(spark, path, "path string, id string, rank string, remark string, release string")
-    named = rows.select(F.regexp_replace(F.array_join(F.transform(F.split("path", ";", -1), lambda x: F.trim(x)), ";"), ";+$", "").alias("path"), F.lower(F.trim("rank")).alias("rank")).distinct()
-    two = named.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(5).collect()
-    if two:
-        raise IntegrityError(f"paths with two ranks: {[r.path for r in two]}")
+    parts = F.filter(F.transform(F.split(F.coalesce("path", F.lit("")), ";", -1), lambda x: F.trim(x)), lambda x: x != "")
+    named = rows.select(F.array_join(parts, ";").alias("path"), F.lower(F.trim(F.coalesce("rank", F.lit("")))).alias("rank")).distinct()
+    wrong = named.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min("rank").alias("rank")).where("n > 1 or path = '' or rank = ''").limit(5).collect()
+    if wrong:
+        raise IntegrityError(f"paths with two ranks or none: {[r.path for r in wrong]}")
     return named
 
 

@@ -45,6 +45,15 @@ def test_fasta_and_adapters(spark, tmp_path):
     ranks = spark.createDataFrame([("Bacteria", "domain"), ("Bacteria;Phy", "phylum"), ("Bacteria;Phy;Cla", "order")], "path string, rank string")
     got = headers.silva_records(records, ranks, "1").collect()
     assert [(r.source_identifier, r.taxonomy, r.marker) for r in got] == [("A1.1.4", "Bacteria;Phy;;Cla", "16S")]
+    assert headers.silva_records(records.union(records), ranks, "1").count() == 2  # repeated records stay
+    assert [(r.header, r.reason) for r in headers.header_violations(records, "SILVA").collect()] == [("bad", "identifier")]
+    with pytest.raises(Exception, match="rank table without the domain"):
+        headers.silva_records(records, ranks.where("path <> 'Bacteria'"), "1").collect()
+    (tmp_path / "ranks.tsv").write_text("Bacteria; Phy ;;\t1\tPhylum\t\t\nBacteria;\t2\tdomain\t\t\n")
+    assert sorted(tuple(r) for r in text.rank_table(spark, str(tmp_path / "ranks.tsv")).collect()) == [("Bacteria", "domain"), ("Bacteria;Phy", "phylum")]
+    (tmp_path / "ranks.tsv").write_text("Bacteria\t1\tdomain\t\t\nBacteria;\t2\tphylum\t\t\n")
+    with pytest.raises(IntegrityError):
+        text.rank_table(spark, str(tmp_path / "ranks.tsv"))
     got = {r.source_identifier: (r.taxonomy, r.marker, r.compartment, r.problem) for r in headers.pr2_records(text.fasta(spark, str(pr2)), "5").collect()}
     assert got["B1.1.4_U"] == ("Eukaryota;a;b", "18S", "plastid", None) and got["B3.1.4_U"][3] == "suffix_of_other_compartment"
 

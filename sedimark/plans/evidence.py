@@ -6,12 +6,13 @@ rows it takes, and the plan's own function does the rest.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sedimark.functions.ids import canonical_record_id, canonical_sequence_id, canonical_taxon_oid
 from sedimark.operators import ranking as R
 from sedimark.operators.lineage import path_ranks
+from sedimark.operators.trees import classify_by_neighbours, ranked_neighbours
 from sedimark.plans import annotate, calibrate, release
 from sedimark.storage import materialize, table
 
@@ -37,7 +38,7 @@ def _preferred(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "preferred_taxonomy").withColumn("sequence_id", canonical_sequence_id(F.col("sequence_id"))).where("sequence_id is not null")
     first = R.first_rows(rows, ["sequence_id"], [F.col("row_id")])
     return first.select("sequence_id", "reference_source", "taxonomy", "taxonomy_source", "domain", "compartment", "assignment_method", "cross_domain_conflict",
-                        F.lit("").alias("taxonomy_alternatives"), F.lit("").alias("centroid_names"), F.lit("").alias("centroid_taxonomy"), F.lit("").alias("centroid_taxonomy_source"))
+                        F.lit("").alias("taxonomy_alternatives"), F.lit("").alias("centroid_names"), "centroid_taxonomy", "centroid_taxonomy_source")
 
 
 def _labels(spark: SparkSession, folder: str) -> DataFrame:
@@ -143,6 +144,38 @@ def sampled_truth(spark: SparkSession, folder: str) -> DataFrame:
     return calibrate.sample_truth(_preferred(spark, folder), seqs, 50)
 
 
+def _marked(spark: SparkSession, folder: str) -> DataFrame:
+    """Hits with the marker of their subject: the first of the two that its sequence names; others are left out."""
+    rows = table(spark, folder, "sequences").select(canonical_sequence_id(F.col("sequence_id")).alias("subject"), F.explode(F.regexp_extract_all("markers", F.lit("1[68]S"), 0)).alias("marker"))
+    return _pairs(spark, folder).join(rows.where("subject is not null").groupBy("subject").agg(F.min("marker").alias("marker")), "subject")
+
+
+def _detected(spark: SparkSession, folder: str) -> DataFrame:
+    """Every query of the search, detected as 18S."""
+    return table(spark, folder, "blast_hits").where(F.trim("query") != "").select("query", F.lit("18S").alias("detected")).distinct()
+
+
+def routed_markers(spark: SparkSession, folder: str) -> DataFrame:
+    """The marker of each query by the vote of its best hits."""
+    return annotate.choose_marker(_detected(spark, folder), _marked(spark, folder))
+
+
+def tree_references(spark: SparkSession, folder: str) -> DataFrame:
+    """The first ten references of each query's marker, for queries with three at least."""
+    hits = _marked(spark, folder)
+    markers = annotate.choose_marker(_detected(spark, folder), hits).select("query", "marker")
+    return annotate.tree_tasks(hits, markers, 10)[0]
+
+
+def nearest_lineages(spark: SparkSession, folder: str) -> DataFrame:
+    """Every query classified by its five nearest subjects with a lineage, as leaves whose distance is what their identity lacks."""
+    pairs = _pairs(spark, folder)
+    distances = pairs.select(F.col("query").alias("tree"), F.col("subject").alias("leaf"), (100 - F.col("percent_identity")).alias("distance"), F.lit(None).cast("string").alias("support"))
+    ranks = pairs.select(F.col("query").alias("tree"), F.col("subject").alias("leaf"), F.row_number().over(Window.partitionBy("query").orderBy(*annotate.hit_order())).alias("hit_rank"))
+    known = _preferred(spark, folder).withColumnRenamed("sequence_id", "leaf").withColumnRenamed("domain", "taxonomy_domain")
+    return classify_by_neighbours(ranked_neighbours(distances, ranks.join(known, "leaf"), 5)).drop("support")
+
+
 # Rules whose SQL is below; release_violations has more.
 RULES = (
     "sequence twice", "record twice", "assignment twice", "preferred twice", "record without sequence", "assignment without record", "assignment without sequence", "assignment of another sequence",
@@ -151,7 +184,8 @@ RULES = (
 )
 
 QUERIES = {f.__name__: f for f in (
-    annotated, top_hits, sample_categories, preferred_taxonomy, centroid_summary, release_rules, classified_clusters, classification_quality, calibration, sampled_truth)}
+    annotated, top_hits, sample_categories, preferred_taxonomy, centroid_summary, release_rules, classified_clusters, classification_quality, calibration, sampled_truth,
+    routed_markers, tree_references, nearest_lineages)}
 
 _SEQ = "'SSU_' || nullif(regexp_extract({0}, '[Ss][Ss][Uu]_([A-Za-z0-9_-]{{43}})', 1), '')"
 _SRC = "'SRC_' || nullif(lower(regexp_extract({0}, '[Ss][Rr][Cc]_([0-9a-fA-F]{{64}})', 1)), '')"
@@ -259,7 +293,37 @@ _RULES = {
     "location twice": "SELECT oid FROM l GROUP BY 1 HAVING count(*) > 1", "location out of range": "SELECT 1 FROM l WHERE NOT (latitude BETWEEN -90 AND 90) OR NOT (longitude BETWEEN -180 AND 180)",
 }
 
+_ROUTED = (
+    "mk AS (SELECT " + _SEQ.format("sequence_id") + " AS id, min(m) AS marker FROM (SELECT sequence_id, unnest(regexp_extract_all(markers, '1[68]S')) AS m FROM sequences) GROUP BY 1), "
+    "hm AS (SELECT h.*, marker FROM h JOIN mk ON mk.id = h.subject), "
+    "rt AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY bit_score DESC, percent_identity DESC, alignment_length DESC, marker <> '18S', marker, subject) AS n FROM hm), "
+    "vt AS (SELECT query, count(*) FILTER (WHERE n <= 5 AND marker = '16S') AS a, count(*) FILTER (WHERE n <= 5 AND marker = '18S') AS b, max(bit_score) FILTER (WHERE marker = '16S') AS x, max(bit_score) FILTER (WHERE marker = '18S') AS y FROM rt GROUP BY 1), "
+    "ch AS (SELECT q.query, CASE WHEN a > b THEN '16S' WHEN b > a THEN '18S' WHEN coalesce(x, '-infinity'::DOUBLE) > coalesce(y, '-infinity'::DOUBLE) THEN '16S' ELSE '18S' END AS marker, "
+    "CASE WHEN a IS NULL THEN 'detected_model_no_blast_hits' WHEN a <> b THEN 'majority_global_top_hits' WHEN coalesce(x, '-infinity'::DOUBLE) <> coalesce(y, '-infinity'::DOUBLE) THEN 'best_bitscore_tiebreak' ELSE 'detected_model_tiebreak' END AS decision, "
+    "coalesce(a, 0) AS votes_16S, coalesce(b, 0) AS votes_18S, x AS best_16S, y AS best_18S FROM (SELECT DISTINCT query FROM blast_hits WHERE trim(query) <> '') q LEFT JOIN vt ON vt.query = q.query)"
+)
+_NEAREST = (
+    "ce AS (SELECT p.*, coalesce(centroid_taxonomy_source, '') AS cs, " + _PATH.format("coalesce(centroid_taxonomy, '')") + " AS cp FROM p JOIN p1 ON p1.id = p.id AND p1.k = 1), "
+    "vp AS (SELECT id, compartment, domain, taxonomy_source, cs, cp, path, path <> '' AND NOT starts_with(path, ';') AND taxonomy <> 'Unclassified' AS own, cp <> '' AND NOT starts_with(cp, ';') AND cp <> 'Unclassified' AS other FROM ce), "
+    "li AS (SELECT id, compartment, CASE WHEN domain = 'ambiguous' THEN '' WHEN own AND NOT (other AND len(string_split(cp, ';')) > len(string_split(path, ';'))) THEN path WHEN other THEN cp "
+    "WHEN domain NOT IN ('', 'Unclassified') THEN domain ELSE '' END AS line, CASE WHEN domain = 'ambiguous' THEN '' WHEN own AND NOT (other AND len(string_split(cp, ';')) > len(string_split(path, ';'))) THEN taxonomy_source WHEN other THEN cs "
+    "WHEN domain NOT IN ('', 'Unclassified') THEN taxonomy_source ELSE '' END AS source FROM vp), "
+    "ds AS (SELECT query, subject, rank, 100 - percent_identity AS distance, compartment, line, source FROM h JOIN li ON li.id = subject), "
+    "nn AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY distance, rank, subject) AS n FROM ds WHERE line <> ''), "
+    "fa AS (SELECT query, max(distance) AS far FROM nn WHERE n <= 5 GROUP BY 1), "
+    "us AS (SELECT nn.* FROM nn JOIN fa ON fa.query = nn.query WHERE distance < far OR abs(distance - far) <= greatest(1e-12 * greatest(abs(distance), abs(far)), 1e-12)), "
+    + _lca("us", "query", "line") + ", ag AS (SELECT query, coalesce(array_to_string(list_sort(list(DISTINCT source) FILTER (WHERE source <> '')), '|'), '') AS sources, " + _common("compartment") + " AS compartment, count(*) AS neighbours FROM us GROUP BY 1), "
+    "ne AS (SELECT query, arg_min(subject, n) AS nearest, arg_min(distance, n) AS nearest_distance FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY distance, rank, subject) AS n FROM ds) GROUP BY 1)"
+)
+
 ORACLES = {
+    "routed_markers": "WITH " + _HITS + ", " + _ROUTED + " SELECT * FROM ch",
+    "tree_references": "WITH " + _HITS + ", " + _ROUTED + ", ks AS (SELECT hm.query, hm.marker, subject, bit_score, row_number() OVER (PARTITION BY hm.query ORDER BY bit_score DESC, percent_identity DESC, alignment_length DESC, subject) AS rank, "
+    "count(*) OVER (PARTITION BY hm.query) AS n FROM hm JOIN ch ON ch.query = hm.query AND ch.marker = hm.marker) "
+    "SELECT query, marker, rank, 'REF' || lpad(CAST(rank AS VARCHAR), 4, '0') AS leaf, subject, bit_score FROM ks WHERE rank <= 10 AND n >= 3",
+    "nearest_lineages": "WITH " + _HITS + ", " + _PREFERRED + ", " + _NEAREST + " SELECT ne.query AS tree, CASE WHEN coalesce(lca, '') = '' THEN 'Unclassified' ELSE lca END AS lineage, "
+    "CASE WHEN coalesce(lca, '') = '' THEN 'Unclassified' ELSE split_part(lca, ';', 1) END AS domain, coalesce(sources, '') AS sources, coalesce(ag.compartment, '') AS compartment, "
+    "CASE WHEN ag.query IS NULL THEN 'tree_unclassified_no_named_neighbors' ELSE 'tree_nearest_named_lca' END AS method, coalesce(neighbours, 0) AS neighbours, nearest, nearest_distance FROM ne LEFT JOIN ag ON ag.query = ne.query LEFT JOIN lca ON k = ne.query",
     "annotated": "WITH " + _HITS + ", " + _PREFERRED + ", " + _LABELS + ", " + _TIES + " SELECT q.name, coalesce(h.subject, '') AS subject, h.bit_score, h.percent_identity, h.alignment_length, "
     "CASE WHEN ambiguous THEN 'ambiguous' ELSE coalesce(c_domain, '') END AS domain, CASE WHEN ambiguous OR o.query IS NULL THEN '' WHEN path <> '' THEN path WHEN c_domain <> '' THEN c_domain ELSE 'Unclassified' END AS taxonomy, "
     "CASE WHEN ambiguous THEN 'mixed' WHEN cut THEN '' ELSE coalesce(c_compartment, '') END AS compartment, "

@@ -108,23 +108,12 @@ def chunk_plan(t):
     return R.chunk_plan(t("documents"), "doc_id", 7)
 
 
-@query("""WITH q AS (SELECT embedding AS e FROM embeddings WHERE vec_id = 0),
-d AS (SELECT v.vec_id, round(sqrt(list_sum(list_transform(list_zip(v.embedding, q.e), lambda z: (CAST(z[1] AS DOUBLE) - CAST(z[2] AS DOUBLE)) * (CAST(z[1] AS DOUBLE) - CAST(z[2] AS DOUBLE))))), 6) AS distance
-FROM embeddings v, q WHERE v.vec_id <> 0),
-b AS (SELECT max(distance) AS far FROM (SELECT distance FROM d ORDER BY distance, vec_id LIMIT 10))
-SELECT vec_id, distance FROM d, b WHERE distance <= far""")
-def boundary_knn(t):
-    """The ten vectors nearest to vector 0 and all as near as the tenth; boundary_knn_all has every query."""
-    rows = t("embeddings").select("vec_id", "embedding")
-    return R.nearest_vectors(rows, rows.where("vec_id = 0"), "vec_id", "embedding", 10).select(F.col("item").alias("vec_id"), "distance")
-
-
 @query("""WITH d AS (SELECT q.vec_id AS query_id, v.vec_id, round(sqrt(list_sum(list_transform(list_zip(v.embedding, q.embedding), lambda z: (CAST(z[1] AS DOUBLE) - CAST(z[2] AS DOUBLE)) * (CAST(z[1] AS DOUBLE) - CAST(z[2] AS DOUBLE))))), 6) AS distance
 FROM embeddings v JOIN embeddings q ON q.vec_id % 20 = 0 AND v.vec_id <> q.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS n FROM d),
 b AS (SELECT query_id, max(distance) AS far FROM r WHERE n <= 10 GROUP BY 1)
 SELECT d.query_id, vec_id, distance FROM d JOIN b ON b.query_id = d.query_id WHERE distance <= far""")
-def boundary_knn_all(t):
+def boundary_knn(t):
     """The ten vectors nearest to each query and all as near as the tenth; the queries are all rows whose id is divisible by 20."""
     rows = t("embeddings").select("vec_id", "embedding")
     return R.nearest_vectors(rows, rows.where("vec_id % 20 = 0"), "vec_id", "embedding", 10).select(F.col("query").alias("query_id"), F.col("item").alias("vec_id"), "distance")
@@ -367,14 +356,8 @@ def median_summary(t):
 # ---- text -----------------------------------------------------------------------------------------------------------
 
 
-@query("""SELECT doc_id, reverse(translate(substring(text, 11, 60), 'ACGTUacgtu', 'TGCAAtgcaa')) AS piece FROM documents WHERE length(text) >= 70""")
-def substr_revcomp(t):
-    """Positions 11 to 70 of each text, reverse complemented; revcomp_texts has whole texts."""
-    return t("documents").where(F.length("text") >= 70).select("doc_id", S.reverse_complement(S.interval(F.col("text"), F.lit(11), F.lit(70)), "ACGTUacgtu", "TGCAAtgcaa").alias("piece"))
-
-
 @query("""SELECT doc_id, translate(array_to_string(list_reverse(regexp_extract_all(text, '(?s).')), ''), 'ACGTUacgtu', 'TGCAAtgcaa') AS piece FROM documents WHERE text IS NOT NULL""")
-def revcomp_texts(t):
+def substr_revcomp(t):
     """Every text from its first to its last position, reverse complemented."""
     whole = S.interval(F.col("text"), F.lit(1), F.length("text"))
     return t("documents").where("text is not null").select("doc_id", S.reverse_complement(whole, "ACGTUacgtu", "TGCAAtgcaa").alias("piece"))
@@ -391,17 +374,10 @@ def json_props(t):
     return t("events").select("event_type", F.from_json("props", "k bigint")["k"].alias("k")).groupBy("event_type").agg(F.sum("k").alias("total"), F.count(F.lit(1)).alias("rows"))
 
 
-@query("""WITH c AS (SELECT i AS pos, substring(line, i, 1) AS c FROM raw_headers, (SELECT unnest(range(1, 41)) AS i) q WHERE length(line) >= 40)
-SELECT CAST(pos AS BIGINT) AS pos, count(*) AS rows, count(*) FILTER (WHERE c IN ('.', '-', '_', '~')) AS gaps, bool_or(c = '.' OR (c >= 'a' AND c <= 'z')) AS inserted FROM c GROUP BY 1""")
-def gap_columns(t):
-    """Per column of equally long rows, how many rows have a gap there and whether any marks an insertion; gap_columns_all has whole lines."""
-    return S.alignment_columns(t("raw_headers").where(F.length("line") >= 40).select(F.substring("line", 1, 40).alias("row")), "row")
-
-
 @query("""WITH c AS (SELECT i AS pos, substring(line, i, 1) AS c FROM raw_headers, (SELECT unnest(range(1, (SELECT max(length(line)) FROM raw_headers) + 1)) AS i) q WHERE length(line) >= i)
 SELECT CAST(pos AS BIGINT) AS pos, count(*) AS rows, count(*) FILTER (WHERE c IN ('.', '-', '_', '~')) AS gaps, bool_or(c = '.' OR (c >= 'a' AND c <= 'z')) AS inserted FROM c GROUP BY 1""")
-def gap_columns_all(t):
-    """gap_columns over every line to its end; ``rows`` are those that reach the column."""
+def gap_columns(t):
+    """Per column of the lines, each to its end: how many reach it, have a gap there, and whether any marks an insertion."""
     return S.alignment_columns(t("raw_headers"), "line")
 
 

@@ -55,6 +55,13 @@ def lineage_report(spark: SparkSession, folder: str) -> DataFrame:
     return ordered_counts(rows, ["domain", "lineage"], F.array_position(F.array(*[F.lit(d) for d in DOMAINS]), F.col("domain")), F.col("lineage"))
 
 
+def reconciliation(spark: SparkSession, folder: str) -> DataFrame:
+    """Per domain the resolved sequences of taxonomy_resolution beside the sum of lineage_report, which must agree."""
+    listed = lineage_report(spark, folder).groupBy("domain").agg(F.sum("rows").alias("listed"), F.count(F.lit(1)).alias("listed_lineages"))
+    joined = taxonomy_resolution(spark, folder).join(listed, "domain", "left").na.fill(0, ["listed", "listed_lineages"])
+    return joined.select("domain", "resolved", "listed", "lineages", "listed_lineages", ((F.col("resolved") == F.col("listed")) & (F.col("lineages") == F.col("listed_lineages"))).alias("agree"))
+
+
 def compartment_suffixes(spark: SparkSession, folder: str) -> DataFrame:
     """Suffixes of compartments left at the second rank of eukaryotes; a release must have none."""
     rows = _named_lineages(spark, folder).where((F.col("domain") == "Eukaryota") & F.contains("lineage", F.lit(":")))
@@ -119,7 +126,7 @@ def assignment_lca(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    release_composition, preferred_quality, taxonomy_resolution, lineage_report, compartment_suffixes, located_taxa, site_coverage, coverage_totals, unlocated_taxa, source_totals, assignment_lca)}
+    release_composition, preferred_quality, taxonomy_resolution, lineage_report, reconciliation, compartment_suffixes, located_taxa, site_coverage, coverage_totals, unlocated_taxa, source_totals, assignment_lca)}
 
 _OID = "nullif(regexp_extract({0}, '(?:^|[^0-9])([0-9]{{10}})(?:[^0-9]|$)', 1), '')"
 _SEQ = "'SSU_' || nullif(regexp_extract(sequence_id, '[Ss][Ss][Uu]_([A-Za-z0-9_-]{43})', 1), '')"
@@ -147,6 +154,8 @@ ORACLES = {
     "h AS (SELECT *, CASE WHEN total = 0 THEN 0 ELSE (resolved * 200000 // total + 1) // 2 END AS h FROM f) "
     "SELECT domain, resolved, total - resolved AS unresolved, CAST(h // 1000 AS VARCHAR) || '.' || lpad(CAST(h % 1000 AS VARCHAR), 3, '0') AS percent, lineages FROM h",
     "lineage_report": f"SELECT domain, lineage, count(*) AS rows, CAST(CASE domain WHEN 'Bacteria' THEN 1 WHEN 'Archaea' THEN 2 ELSE 3 END AS BIGINT) AS place FROM {_RANK} WHERE {_GOOD} GROUP BY 1, 2",
+    "reconciliation": f"SELECT d.domain, count(lineage) FILTER (WHERE {_GOOD}) AS resolved, count(lineage) FILTER (WHERE {_GOOD}) AS listed, count(DISTINCT lineage) FILTER (WHERE {_GOOD}) AS lineages, count(DISTINCT lineage) FILTER (WHERE {_GOOD}) AS listed_lineages, "
+    f"true AS agree FROM (VALUES ('Bacteria'), ('Archaea'), ('Eukaryota')) d(domain) LEFT JOIN {_RANK} r ON r.domain = d.domain GROUP BY 1",
     "compartment_suffixes": f"SELECT DISTINCT regexp_extract(lineage, ':([^:]+)$', 1) AS suffix FROM {_RANK} WHERE domain = 'Eukaryota' AND lineage LIKE '%:%'",
     "located_taxa": f"WITH {_IMG} SELECT * FROM j",
     "site_coverage": f"WITH {_IMG} SELECT latitude, longitude, count(*) AS taxa, CAST(sum(records_16s) AS BIGINT) AS records_16s, CAST(sum(records_18s) AS BIGINT) AS records_18s, "

@@ -129,7 +129,7 @@ def test_boundary_knn_searches_every_query(spark, tmp_path):
     import __spark_entry__ as entry
 
     spark.createDataFrame([(i, [float(i), 0.0]) for i in range(61)], "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
-    got = entry.queries()["boundary_knn_all"](spark, str(tmp_path)).collect()
+    got = entry.queries()["boundary_knn"](spark, str(tmp_path)).collect()
     assert {r.query_id for r in got} == {0, 20, 40, 60} and sorted(r.vec_id for r in got if r.query_id == 20) == [*range(15, 20), *range(21, 26)]
 
 
@@ -138,7 +138,7 @@ def test_gap_columns_of_whole_lines(spark, tmp_path):
 
     lines = ["A-" * 30 + "x", "short", "", None, "~" * 50 + ".", "AC"]
     spark.createDataFrame([(x,) for x in lines], "line string").write.parquet(str(tmp_path / "raw_headers.parquet"))
-    got = {r.pos: (r.rows, r.gaps, r.inserted) for r in entry.queries()["gap_columns_all"](spark, str(tmp_path)).collect()}
+    got = {r.pos: (r.rows, r.gaps, r.inserted) for r in entry.queries()["gap_columns"](spark, str(tmp_path)).collect()}
     expected = {}
     for i in range(61):
         column = [x[i] for x in lines if x and len(x) > i]
@@ -151,7 +151,7 @@ def test_revcomp_of_whole_texts(spark, tmp_path):
 
     texts = ["ACGU" * 40 + "é", "short", "", None, "x\r\nA\U0001f9ec"]
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
-    got = {r.doc_id: r.piece for r in entry.queries()["revcomp_texts"](spark, str(tmp_path)).collect()}
+    got = {r.doc_id: r.piece for r in entry.queries()["substr_revcomp"](spark, str(tmp_path)).collect()}
     assert got == {i: x.translate(str.maketrans("ACGTUacgtu", "TGCAAtgcaa"))[::-1] for i, x in enumerate(texts) if x is not None}
 
 

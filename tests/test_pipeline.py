@@ -415,3 +415,24 @@ def test_tree_tasks_and_markers(spark):
     assert got == {
         "q": ("16S", "majority_global_top_hits", 4, 1), "p": ("16S", "majority_global_top_hits", 1, 0), "tie": ("18S", "best_bitscore_tiebreak", 1, 1), "even": ("18S", "detected_model_tiebreak", 1, 1),
         "same": ("18S", "majority_global_top_hits", 0, 1), "none": ("18S", "detected_model_no_blast_hits", 0, 0)}
+
+
+def test_streams(spark, tmp_path):
+    """Best hits so far and hourly counts over files that arrive one after the other."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    line = "q{}\ts{}\t90\t100\t0\t0\t1\t100\t1\t100\t1e-9\t{}\n"
+    stream = arrivals.arriving_hits(spark, str(folder))
+    best = arrivals.best_so_far(stream).writeStream.format("memory").queryName("best").outputMode("complete").start()
+    hours = arrivals.hourly_counts(stream).writeStream.format("memory").queryName("hours").outputMode("complete").start()
+    try:
+        for i, rows in enumerate([[(1, "a", 5), (2, "b", 7)], [(1, "c", 9), (2, "d", 6)]]):
+            (tmp_path / f"{i}.m8").write_text("".join(line.format(*r) for r in rows))
+            (tmp_path / f"{i}.m8").rename(folder / f"{i}.m8")
+            best.processAllAvailable()
+            hours.processAllAvailable()
+        assert {r["query"]: (r.subject, r.bit_score) for r in spark.table("best").collect()} == {"q1": ("sc", 9.0), "q2": ("sb", 7.0)}
+        assert sum(r.hits for r in spark.table("hours").collect()) == 4
+    finally:
+        best.stop()
+        hours.stop()

@@ -1,9 +1,8 @@
 """Ranks, ties, windows of candidates and evidence within groups.
 
-Groups here are small by nature (hits of one query, rows of one key), so window
-functions are used; where only the best rows are wanted the filter on the rank
-lets Spark limit each group before its shuffle.  For groups of any size see
-``operators.ranged``.
+Where the first rows of a group are wanted, a window function does it, and the filter on the rank lets Spark limit each
+group before its shuffle.  What depends on a whole group (its best score, a threshold, the first row of a source) is
+aggregated and joined back, so that no group has to be sorted in one task.
 """
 
 from __future__ import annotations

@@ -20,7 +20,7 @@ from sedimark.storage import materialize
 MODELS = {"RF00177": "SSU_rRNA_bacteria", "RF01960": "SSU_rRNA_eukarya"}
 RIVALS = frozenset(MODELS)
 MARKERS = ("16S", "18S")
-LEAST_LENGTH, TARGETS, TOP_HITS = 500, 500, 5
+LEAST_LENGTH, TARGETS, TOP_HITS, ROUTE_HITS = 500, 500, 5, 100
 SOURCES = ("IMG", "PR2", "SILVA")
 HIT_FIELDS = ["name", "sample", "model", "length", "coordinates", "strand", "sequence_type", "contig_name", "is_assembled"]
 TREE_FIELDS = [
@@ -40,6 +40,14 @@ TOP_HIT_FIELDS = [
     "taxonomy_domain", "compartment", "taxonomy_assignment_method", "taxonomy_alternatives", "centroid_names", "centroid_taxonomy", "centroid_taxonomy_source", "blast_pident",
     "blast_length", "blast_mismatch", "blast_gapopen", "blast_qstart", "blast_qend", "blast_sstart", "blast_send", "blast_evalue", "blast_bitscore", "query_length", "query_sequence",
 ]
+REFERENCE_FIELDS = [
+    "leaf_id", "blast_sseqid", "hit_rank", "reference_identifiers", "reference_versions", "reference_source", "taxonomy", "taxonomy_source", "taxonomy_domain", "compartment",
+    "taxonomy_assignment_method", "centroid_names", "centroid_taxonomy", "centroid_taxonomy_source", "blast_pident", "blast_length", "blast_evalue", "blast_bitscore",
+]
+NEIGHBOUR_FIELDS = [
+    "name", "sample", "model", "tree_model", "tree_marker", "tree_neighbor_rank", "tree_distance", "used_for_assignment", "tree_lineage", "tree_lineage_source", "tree_lineage_basis", *REFERENCE_FIELDS,
+]
+SKIPPED = "tree_skipped_insufficient_references"
 CENTROID_FIELDS = ("centroid_names", "centroid_taxonomy", "centroid_taxonomy_source")
 TAXONOMY_FIELDS = ("reference_source", "taxonomy", "taxonomy_source", "domain", "compartment", "assignment_method", "taxonomy_alternatives", *CENTROID_FIELDS)
 CATEGORIES = {
@@ -248,7 +256,7 @@ def top_hit_report(rows: DataFrame, queries: DataFrame, sequences: DataFrame | N
 # ---- trees ----------------------------------------------------------------------------------------------------------
 
 
-def choose_marker(queries: DataFrame, hits: DataFrame, n: int = TOP_HITS) -> DataFrame:
+def choose_marker(queries: DataFrame, hits: DataFrame, n: int = ROUTE_HITS) -> DataFrame:
     """Marker of each query (``query, detected``) from its hits on all indexes (``query, subject, marker, bit_score, ...``).
 
     Gives ``query, marker, decision, votes_16S, votes_18S, best_16S, best_18S``.  Each subject counts once at its best
@@ -275,6 +283,57 @@ def tree_tasks(hits: DataFrame, markers: DataFrame, references: int = 100, least
     return tasks, counted.where(F.col("n") < least).select("query", "n", F.lit("fewer_than_three_references").alias("reason"))
 
 
+def task_key(sample: Column, model: Column, name: Column) -> Column:
+    """The key of a query's tree: ``q_`` + 16 digits of the SHA-256 of sample, model and name."""
+    return F.concat(F.lit("q_"), F.substring(F.sha2(F.concat_ws("\0", sample, model, name), 256), 1, 16))
+
+
+def reference_rows(tasks: DataFrame, hits: DataFrame, taxonomy: DataFrame, labels: DataFrame) -> DataFrame:
+    """``query`` and REFERENCE_FIELDS, as text, of the references that tree_tasks picked; ``hits`` with all search columns, the rest as for annotated."""
+    picked = tasks.select("query", "subject", "marker", "rank", "leaf").join(hits.drop("rank"), ["query", "subject", "marker"])
+    joined = picked.join(labels, "subject", "left").join(taxonomy.withColumnRenamed("sequence_id", "subject"), "subject", "left")
+    number = general_format()
+    made = {"leaf_id": F.col("leaf"), "blast_sseqid": F.col("subject"), "hit_rank": F.col("rank").cast("string"), "reference_identifiers": F.coalesce("identifiers", "subject"), "reference_versions": F.col("versions"),
+            "taxonomy_domain": F.col("domain"), "taxonomy_assignment_method": F.col("assignment_method"), "blast_length": F.col("alignment_length").cast("string"),
+            "blast_pident": number(F.col("percent_identity").cast("double")), "blast_evalue": number(F.col("e_value").cast("double")), "blast_bitscore": number(F.col("bit_score").cast("double"))}
+    return joined.select("query", *[F.coalesce(made.get(c, F.col(c)), F.lit("")).alias(c) for c in REFERENCE_FIELDS])
+
+
+def tree_assignments(queries: DataFrame, routes: DataFrame, classified: DataFrame, references: DataFrame, models: dict[str, str], inference: str = "GTR+F+R4") -> DataFrame:
+    """``sample, model, name`` and TREE_FIELDS, as text, of every query: what its tree says, or that it was skipped.
+
+    ``queries`` has ``sample, model, name, tree`` (see task_key); ``routes`` is what choose_marker gives and
+    ``references`` what reference_rows gives, by ``query`` = tree; ``classified`` is what trees.classify_by_neighbours
+    gives; ``models`` names the model of each marker.
+    """
+    number = general_format(10)
+    model = F.create_map(*[F.lit(x) for pair in models.items() for x in pair])
+    nearest = references.select(F.col("query").alias("tree"), F.col("leaf_id").alias("nearest"), "blast_sseqid", "reference_identifiers")
+    rows = queries.join(routes.withColumnRenamed("query", "tree"), "tree").join(classified, "tree", "left").join(nearest, ["tree", "nearest"], "left")
+    there = F.col("method").isNotNull()
+    text = lambda c: F.col(c).cast("string")
+    made = {
+        "tree_model": F.try_element_at(model, F.col("marker")), "tree_marker": F.col("marker"), "tree_route_decision": F.col("decision"), "tree_route_16s_votes": text("votes_16S"), "tree_route_18s_votes": text("votes_18S"),
+        "tree_route_16s_best_bitscore": number(F.col("best_16S").cast("double")), "tree_route_18s_best_bitscore": number(F.col("best_18S").cast("double")), "tree_taxonomy": F.col("lineage"), "tree_taxonomy_source": F.col("sources"),
+        "tree_taxonomy_domain": F.col("domain"), "tree_compartment": F.col("compartment"), "tree_assignment_method": F.coalesce("method", F.lit(SKIPPED)), "tree_basis_neighbors": F.coalesce(text("neighbours"), F.lit("0")),
+        "tree_nearest_sseqid": F.col("blast_sseqid"), "tree_nearest_reference_identifiers": F.col("reference_identifiers"), "tree_nearest_distance": number(F.col("nearest_distance")),
+        "tree_query_edge_support": number(F.col("support").try_cast("double")), "tree_inference_model": F.when(there, inference),
+    }
+    return rows.select("sample", "model", "name", *[F.coalesce(made[c], F.lit("")).alias(c) for c in TREE_FIELDS])
+
+
+def tree_neighbours(queries: DataFrame, routes: DataFrame, ranked: DataFrame, references: DataFrame, models: dict[str, str]) -> DataFrame:
+    """NEIGHBOUR_FIELDS, as text, of every leaf of every tree, in order; arguments as for tree_assignments, ``ranked`` is what trees.ranked_neighbours gives."""
+    model = F.create_map(*[F.lit(x) for pair in models.items() for x in pair])
+    said = references.withColumnRenamed("query", "tree").withColumnRenamed("leaf_id", "leaf")
+    rows = ranked.select("tree", "leaf", "distance", "neighbour_rank", "used", "path", "source", "basis").join(said, ["tree", "leaf"]).join(queries.select("tree", "sample", "model", "name"), "tree").join(
+        routes.select(F.col("query").alias("tree"), "marker"), "tree")
+    made = {"tree_model": F.try_element_at(model, F.col("marker")), "tree_marker": F.col("marker"), "tree_neighbor_rank": F.col("neighbour_rank").cast("string"), "tree_distance": general_format(10)(F.col("distance")),
+            "used_for_assignment": F.col("used").cast("string"), "tree_lineage": F.array_join("path", ";"), "tree_lineage_source": F.col("source"), "tree_lineage_basis": F.col("basis"), "leaf_id": F.col("leaf")}
+    out = rows.orderBy("sample", "model", "name", "neighbour_rank", "leaf")
+    return out.select(*[F.coalesce(made.get(c, F.col(c)), F.lit("")).alias(c) for c in NEIGHBOUR_FIELDS])
+
+
 def with_trees(rows: DataFrame, assignments: DataFrame) -> DataFrame:
     """Summary rows with the columns of their tree assignments (TREE_FIELDS, keyed by ``sample, model, name``).
 

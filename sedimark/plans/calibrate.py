@@ -254,16 +254,61 @@ def outcome_violations(outcomes: DataFrame, calibrated: DataFrame, marker: str,
     }
 
 
-def with_evidence(outcomes: DataFrame) -> DataFrame:
-    """``outcomes`` with ``evidence_id``: ``IMGEV_`` + the SHA-256 of a row's own canonical JSON without names of clusters, centroids and members."""
-    shown = sorted(c for c in outcomes.columns if c not in ("cluster_id", "centroid", "members"))
-    return outcomes.withColumn("evidence_id", F.concat(F.lit("IMGEV_"), F.sha2(F.to_json(F.struct(*shown), {"ignoreNullFields": "false"}), 256)))
+# What evidence shows, by the columns it comes from; nothing else leaves an outcome.
+EVIDENCE = {
+    "classification_status": "status", "reason": "reason", "returned_hit_count": "returned_hits", "eligible_hit_count": "eligible_hits", "coverage_filtered_hit_count": "covered_too_little",
+    "best_bit_score": "best_bit_score", "candidate_bit_score_threshold": "threshold", "candidate_count": "candidates", "candidates": "evidence", "missing_taxonomy_subjects": "missing_subjects",
+    "ambiguous_taxonomy_subjects": "ambiguous_subjects", "truncated": "truncated", "taxonomy": "taxonomy", "taxonomy_source": "taxonomy_source", "centroid_taxonomy": "centroid_taxonomy",
+    "centroid_taxonomy_source": "centroid_taxonomy_source", "domain": "domain", "compartment": "compartment", "assignment_method": "assignment_method", "species_guard_applied": "species_guarded",
+    "species_called": "species_called", "calibration_rank_cap": "rank_cap", "propagation_rank_cap": "propagation_cap",
+}
+
+
+def candidate_evidence(clusters: DataFrame, hits: DataFrame, taxonomy: DataFrame, targets: int = TARGETS) -> DataFrame:
+    """``cluster_id, evidence, missing_subjects, ambiguous_subjects``: the candidates of each cluster in order, with what their reference says.
+
+    They are the evidence itself, so a cluster's are gathered, however many they are.
+    """
+    found = hits.withColumnRenamed("query", "alias").join(_aliases(clusters), "alias").drop("alias").withColumnRenamed("cluster_id", "query")
+    near = _with_records(candidates(found, targets), taxonomy).join(taxonomy.select(F.col("sequence_id").alias("subject"), "taxonomy_alternatives"), "subject", "left")
+    shown = F.struct(
+        F.col("alignment_length"), plain_decimal(F.col("bit_score")).alias("bit_score"), F.coalesce("conflict", F.lit(False)).alias("cross_domain_conflict"), plain_decimal(F.col("percent_identity")).alias("percent_identity"),
+        plain_decimal(F.col("query_coverage")).alias("query_coverage"), "query_length", "subject", "subject_length", F.coalesce(F.array_join("path", ";"), F.lit("")).alias("taxonomy"),
+        F.coalesce(F.from_json("taxonomy_alternatives", "array<map<string,string>>"), F.array().cast("array<map<string,string>>")).alias("taxonomy_alternatives"), F.coalesce("taxonomy_source", F.lit("")).alias("taxonomy_source"))
+    place = F.struct((-F.col("bit_score")).alias("a"), (-F.col("percent_identity")).alias("b"), (-F.col("alignment_length")).alias("c"), F.col("subject").alias("d"))
+    # maps cannot be sorted, so the place of a candidate is, and it is taken out again
+    listed = F.transform(F.array_sort(F.collect_list(F.struct(place.alias("place"), F.to_json(shown).alias("shown")))), lambda x: x["shown"])
+    names = lambda condition: F.array_sort(F.collect_set(F.when(condition, F.col("subject"))))
+    return near.groupBy(F.col("query").alias("cluster_id")).agg(
+        listed.alias("evidence"), names(F.col("known").isNull()).alias("missing_subjects"), names(F.coalesce("conflict", F.lit(False))).alias("ambiguous_subjects"))
+
+
+def decision(outcomes: DataFrame, marker: str) -> Column:
+    """What evidence shows of an outcome, as canonical JSON: the columns of EVIDENCE, the marker and the version, sorted, without nulls and empty lists.
+
+    A name of an IMG record in it is an error.
+    """
+    lists = {"evidence", "missing_subjects", "ambiguous_subjects"}
+    members = {name: (F.when(F.size(c) > 0, F.col(c)) if c in lists else F.col(c)) for name, c in EVIDENCE.items() if c in outcomes.columns}
+    members |= {"marker": F.lit(marker), "schema_version": F.lit(1)}
+    text = F.to_json(F.struct(*[members[name].alias(name) for name in sorted(members)]))
+    if "evidence" in outcomes.columns:  # its entries are objects already
+        raw = F.concat(F.lit('"candidates":['), F.array_join("evidence", ","), F.lit("]"))
+        quoted = F.concat(F.lit('"candidates":'), F.to_json("evidence"))
+        text = F.when(F.size("evidence") > 0, F.replace(text, quoted, raw)).otherwise(text)
+    return F.when(F.contains(text, F.lit("IMG_")), F.raise_error(F.lit("evidence contains the name of an IMG record"))).otherwise(text)
+
+
+def with_evidence(outcomes: DataFrame, marker: str = "", details: DataFrame | None = None) -> DataFrame:
+    """``outcomes`` with ``decision``, see there, and ``evidence_id``: ``IMGEV_`` + the SHA-256 of it; ``details`` is what candidate_evidence gives."""
+    rows = outcomes if details is None else outcomes.join(details, "cluster_id", "left")
+    shown = rows.withColumn("decision", decision(rows, marker)).select(*outcomes.columns, "decision")
+    return shown.withColumn("evidence_id", F.concat(F.lit("IMGEV_"), F.sha2("decision", 256)))
 
 
 def evidence_catalog(outcomes: DataFrame) -> DataFrame:
     """``evidence_id, decision`` of what with_evidence gives, each decision once."""
-    shown = sorted(c for c in outcomes.columns if c not in ("cluster_id", "centroid", "members", "evidence_id"))
-    return outcomes.groupBy("evidence_id").agg(F.min(F.to_json(F.struct(*shown), {"ignoreNullFields": "false"})).alias("decision"))
+    return outcomes.groupBy("evidence_id").agg(F.min("decision").alias("decision"))
 
 
 def centroid_name(centroid: Column) -> Column:

@@ -297,7 +297,7 @@ _ROUTED = (
     "mk AS (SELECT " + _SEQ.format("sequence_id") + " AS id, min(m) AS marker FROM (SELECT sequence_id, unnest(regexp_extract_all(markers, '1[68]S')) AS m FROM sequences) GROUP BY 1), "
     "hm AS (SELECT h.*, marker FROM h JOIN mk ON mk.id = h.subject), "
     "rt AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY bit_score DESC, percent_identity DESC, alignment_length DESC, marker <> '18S', marker, subject) AS n FROM hm), "
-    "vt AS (SELECT query, count(*) FILTER (WHERE n <= 5 AND marker = '16S') AS a, count(*) FILTER (WHERE n <= 5 AND marker = '18S') AS b, max(bit_score) FILTER (WHERE marker = '16S') AS x, max(bit_score) FILTER (WHERE marker = '18S') AS y FROM rt GROUP BY 1), "
+    "vt AS (SELECT query, count(*) FILTER (WHERE n <= 100 AND marker = '16S') AS a, count(*) FILTER (WHERE n <= 100 AND marker = '18S') AS b, max(bit_score) FILTER (WHERE marker = '16S') AS x, max(bit_score) FILTER (WHERE marker = '18S') AS y FROM rt GROUP BY 1), "
     "ch AS (SELECT q.query, CASE WHEN a > b THEN '16S' WHEN b > a THEN '18S' WHEN coalesce(x, '-infinity'::DOUBLE) > coalesce(y, '-infinity'::DOUBLE) THEN '16S' ELSE '18S' END AS marker, "
     "CASE WHEN a IS NULL THEN 'detected_model_no_blast_hits' WHEN a <> b THEN 'majority_global_top_hits' WHEN coalesce(x, '-infinity'::DOUBLE) <> coalesce(y, '-infinity'::DOUBLE) THEN 'best_bitscore_tiebreak' ELSE 'detected_model_tiebreak' END AS decision, "
     "coalesce(a, 0) AS votes_16S, coalesce(b, 0) AS votes_18S, x AS best_16S, y AS best_18S FROM (SELECT DISTINCT query FROM blast_hits WHERE trim(query) <> '') q LEFT JOIN vt ON vt.query = q.query)"

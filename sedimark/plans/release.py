@@ -105,12 +105,14 @@ def with_assignments(held: DataFrame, more: DataFrame) -> DataFrame:
     return held.unionByName(more)
 
 
-def locations(rows: DataFrame) -> DataFrame:
+def locations(rows: DataFrame, included: DataFrame | None = None) -> DataFrame:
     """``taxon_oid, latitude, longitude``, each taxon once; a pair with a coordinate out of range is dropped, not mended.
 
-    ``rows`` has the three columns as text; what location_violations lists may not come in.
+    ``rows`` has the three columns as text; what location_violations lists may not come in.  With ``included``, only
+    taxa among its ``taxon_oid`` stay.
     """
-    return _pairs(rows).select(*LOCATION).distinct()
+    once = _pairs(rows).select(*LOCATION).distinct()
+    return once if included is None else once.join(included.select("taxon_oid").distinct(), "taxon_oid", "left_semi")
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
@@ -279,7 +281,7 @@ def build(prepared: DataFrame, folder: str, derived: DataFrame | None = None, pl
     tables = {"sequences": (seqs, "sequence_id"), "source_records": (records, "source_record_id"), "taxonomy_assignments": (held, "taxonomy_assignment_id")}
     if places is not None:
         require(location_violations(places))
-        tables["img_location"] = (locations(places), "taxon_oid")
+        tables["img_location"] = (locations(places, records), "taxon_oid")
     for name, (df, key) in tables.items():
         files.parquet(df, f"{staging}/{name}", [key], single)
     read = lambda name, at: spark.read.parquet(f"{at}/{name}")

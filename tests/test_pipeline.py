@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sedimark.functions import sequences as S
 from sedimark.functions import text as X
 from sedimark.operators.integrity import IntegrityError, require
+from sedimark.operators.trees import classify_by_neighbours, leaf_distances, ranked_neighbours
 from sedimark.plans import annotate, calibrate, release
 from sedimark.sinks import files
 from sedimark.sources import headers, text
@@ -353,6 +354,14 @@ def test_classified_clusters(spark):
     assert (members["IMG_30"].taxonomy, members["IMG_30"].taxonomy_source, members["IMG_30"].assignment_method) == ("Unclassified", "SILVA+PR2", "updated_reference_unclassified") and members["IMG_30"].evidence.endswith("reason=no_common_domain")
     catalog = calibrate.evidence_catalog(outcomes)
     assert catalog.count() == 9 and not any("IMG_1" in r.decision or "q1" in r.decision for r in catalog.collect())
+    details = calibrate.candidate_evidence(groups, hits, taxonomy)
+    assert {r.cluster_id: (len(r.evidence), r.missing_subjects, r.ambiguous_subjects) for r in details.collect()} == {
+        "k1": (1, [], []), "k2": (2, [], []), "k3": (2, [], []), "k4": (1, [], ["vague"]), "k5": (1, ["nobody"], []), "k6": (1, [], [])}
+    shown = {r.cluster_id: json.loads(r.decision) for r in calibrate.with_evidence(calibrate.classified_clusters(groups, hits, taxonomy, caps, "16S"), "16S", details).collect()}
+    assert [c["subject"] for c in shown["k2"]["candidates"]] == ["a", "b"] and shown["k2"]["candidates"][0]["bit_score"] == "100" and shown["k2"]["marker"] == "16S" and shown["k5"]["missing_taxonomy_subjects"] == ["nobody"]
+    assert list(shown["k1"]) == sorted(shown["k1"]) and "candidates" not in shown["k8"] and not {"cluster_id", "centroid", "members"} & set(shown["k1"])
+    with pytest.raises(Exception, match="name of an IMG record"):
+        calibrate.with_evidence(calibrate.classified_clusters(groups, hits, taxonomy, caps, "16S").withColumn("reason", F.lit("IMG_7"))).collect()
     counters = {r.counter: r.value for r in calibrate.quality(outcomes).collect()}
     assert (counters["clusters_total"], counters["clusters_classified"], counters["assignments_written"], counters["unclassified_by_reason:no_hits"], counters["classified_by_domain:B"], counters["hits_total"]) == (9, 2, 9, 1, 2, 9)
     wrong = calibrate.alias_violations(clusters(spark, ("k1", "q1", []), ("q1", "q3", []), ("k4", "q4", [])), search(spark, ("k4", "a", "1"), ("q4", "a", "1"), ("zz", "a", "1")))
@@ -413,10 +422,34 @@ def test_tree_tasks_and_markers(spark):
     queries = spark.createDataFrame([(q, "18S") for q in ("q", "p", "tie", "even", "same", "none")], "query string, detected string")
     got = {r["query"]: (r.marker, r.decision, r.votes_16S, r.votes_18S) for r in annotate.choose_marker(queries, more).collect()}
     assert got == {
-        "q": ("16S", "majority_global_top_hits", 4, 1), "p": ("16S", "majority_global_top_hits", 1, 0), "tie": ("18S", "best_bitscore_tiebreak", 1, 1), "even": ("18S", "detected_model_tiebreak", 1, 1),
+        "q": ("16S", "majority_global_top_hits", 5, 1), "p": ("16S", "majority_global_top_hits", 1, 0), "tie": ("18S", "best_bitscore_tiebreak", 1, 1), "even": ("18S", "detected_model_tiebreak", 1, 1),
         "same": ("18S", "majority_global_top_hits", 0, 1), "none": ("18S", "detected_model_no_blast_hits", 0, 0)}
 
 
+def test_tree_reports(spark):
+    columns = "query string, subject string, marker string, bit_score double, percent_identity double, alignment_length int, e_value double"
+    hits = spark.createDataFrame([("t1", f"s{i}", "16S", 100.5 - i, 97.125, 10, 1e-9) for i in range(3)] + [("t2", "s0", "16S", 5.0, 90.0, 10, 1.0)], columns)
+    queries = spark.createDataFrame([("s", "m", "q1", "t1"), ("s", "m", "q2", "t2")], "sample string, model string, name string, tree string")
+    routes = annotate.choose_marker(spark.createDataFrame([("t1", "16S"), ("t2", "16S")], "query string, detected string"), hits)
+    tasks, skipped = annotate.tree_tasks(hits, routes)
+    taxonomy = known(spark, ("s0", "B;P;C", "SILVA", "B", "", "SILVA", "native", False), ("s1", "B;P;D", "PR2", "B", "plastid", "PR2", "native", False), ("s2", "", "", "Unclassified", "", "", "", False))
+    labels = annotate.reference_labels(spark.createDataFrame([("s0", "SILVA", "1", "x")], "sequence_id string, reference_source string, source_version string, source_identifier string"))
+    references = annotate.reference_rows(tasks, hits, taxonomy, labels)
+    assert references.columns == ["query", *annotate.REFERENCE_FIELDS] and [(r.leaf_id, r.reference_identifiers, r.blast_pident, r.blast_evalue) for r in references.orderBy("leaf_id").collect()] == [
+        ("REF0001", "SILVA:x", "97.125", "1e-09"), ("REF0002", "s1", "97.125", "1e-09"), ("REF0003", "s2", "97.125", "1e-09")]
+    trees = spark.createDataFrame([("t1", "((QUERY:0.1,REF0002:0.25)88:0.5,(REF0001:1,REF0003:1)70:0.125);", "QUERY")], "tree string, newick string, query string")
+    named = references.select(F.col("query").alias("tree"), F.col("leaf_id").alias("leaf"), F.col("hit_rank").cast("int").alias("hit_rank"), "taxonomy", "taxonomy_source", "taxonomy_domain", "compartment", "centroid_taxonomy", "centroid_taxonomy_source")
+    ranked = ranked_neighbours(leaf_distances(trees, "tree", "newick", "query"), named, 5)
+    got = {r.name: r for r in annotate.tree_assignments(queries, routes, classify_by_neighbours(ranked), references, {"16S": "RF00177", "18S": "RF01960"}).collect()}
+    assert (got["q1"].tree_taxonomy, got["q1"].tree_nearest_sseqid, got["q1"].tree_nearest_distance, got["q1"].tree_query_edge_support, got["q1"].tree_basis_neighbors, got["q1"].tree_route_16s_best_bitscore, got["q1"].tree_route_18s_best_bitscore) == (
+        "B;P", "s1", "0.35", "88", "2", "100.5", "")
+    assert (got["q2"].tree_assignment_method, got["q2"].tree_basis_neighbors, got["q2"].tree_model, got["q2"].tree_inference_model) == (annotate.SKIPPED, "0", "RF00177", "") and skipped.count() == 1
+    near = annotate.tree_neighbours(queries, routes, ranked, references, {"16S": "RF00177", "18S": "RF01960"})
+    assert near.columns == annotate.NEIGHBOUR_FIELDS and [(r.leaf_id, r.tree_neighbor_rank, r.used_for_assignment, r.tree_distance, r.tree_lineage_basis) for r in near.collect()] == [
+        ("REF0002", "1", "true", "0.35", "preferred_taxonomy"), ("REF0001", "2", "true", "1.725", "preferred_taxonomy"), ("REF0003", "3", "false", "1.725", "unclassified")]
+    assert one(spark, annotate.task_key(F.lit("s"), F.lit("m"), F.lit("q"))) == "q_" + hashlib.sha256(b"s\0m\0q").hexdigest()[:16]
+
+
 def test_streams(spark, tmp_path):
     """Best hits so far and hourly counts over files that arrive one after the other."""
     folder = tmp_path / "in"

@@ -33,7 +33,7 @@ def equal_best(df: DataFrame, keys: Sequence[str], score: str, limit: int) -> Da
 
 
 def best_score_rows(df: DataFrame, keys: Sequence[str], score: str) -> DataFrame:
-    """The rows whose score equals the best of their group; scores that are null never do.
+    """The rows whose score equals the best of their group; scores that are null never do, nor do rows with a null key.
 
     The best scores are aggregated, and rows meet them by group and score, so a large group is spread by its scores.
     """
@@ -66,10 +66,12 @@ def top_with_evidence(df: DataFrame, keys: Sequence[str], order: Sequence[Column
     all of them.  ``sources`` is the array of a row's sources, ``names`` those that count.  Reasons come in a fixed
     order: ``overall_top_n``, ``equal_best_assignment``, ``best_...`` for each name.
 
+    Rows with a null key or score take no part in groups and are left out; an empty table gives none.
+
     Groups are not sorted: their bounds are aggregated, the rows within them picked, and where the first row of a source
     lies deep in its group, the rows before it are counted.
     """
-    held = df.withColumn("__o", F.struct(*[c.alias(f"c{i}") for i, c in enumerate(order)]))
+    held = df.where(F.col(score).isNotNull()).withColumn("__o", F.struct(*[c.alias(f"c{i}") for i, c in enumerate(order)]))
     first = [F.min(F.when(F.array_contains(sources, name), F.col("__o"))).alias(f"__f{i}") for i, name in enumerate(names)]
     last = first_rows(held.select(*keys, "__o"), keys, [F.col("__o")], n).groupBy(*keys).agg(F.max("__o").alias("__last"))
     bounds = held.groupBy(*keys).agg(F.max(score).alias("__best"), *first).join(last, list(keys))

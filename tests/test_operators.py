@@ -111,6 +111,20 @@ def test_ranking(spark):
     assert plan == [(1, 3, 0, 2), (2, 3, 3, 5), (3, 2, 6, 7), (4, 2, 8, 9)]
 
 
+def test_ranking_with_nulls_ties_and_no_rows(spark):
+    rows = [("q", "a", 5.0, "A"), ("q", "b", 5.0, "A"), ("q", "c", None, "B"), (None, "d", 9.0, "A"), ("p", "e", None, "A"), ("r", "f", 1.0, None)]
+    df = spark.createDataFrame([(*r, 7) for r in rows], "q string, s string, bits double, src string, rank_ int")
+    order = [-F.col("bits"), F.col("s")]
+    for frame, best, top, near in ((df, {"a", "b", "f"}, {"a": 1, "b": 2, "f": 1}, {"a", "b", "f"}), (df.limit(0), set(), {}, set())):
+        assert {r.s for r in R.best_score_rows(frame, ["q"], "bits").collect()} == best
+        assert {r.s: r["rank"] for r in R.top_with_evidence(frame, ["q"], order, "bits", F.array("src"), ["A", "B"], 1).collect()} == top
+        got = R.candidates(frame, ["q"], F.col("bits"), [F.desc("bits"), F.col("s")], "0.98", F.col("bits") > 0, 1)
+        assert {r.s for r in got.collect()} == near and got.columns == [*df.columns, "threshold", "truncated"]
+    assert {r.q: r.truncated for r in R.candidates(df, ["q"], F.col("bits"), [F.desc_nulls_last("bits"), F.col("s")], "0.98", F.col("bits") > 0, 1).collect()} == {"q": True, "r": False}
+    votes = R.vote(df.where("src is not null"), ["q"], "s", "src", ["A", "B"], [F.desc("bits"), F.col("s")], "bits", 5)
+    assert {r.q: (r.votes_A, r.votes_B, r.chosen) for r in votes.collect()} == {"q": (2, 1, "A"), "p": (1, 0, "A")}
+
+
 def test_nearest_vectors_of_every_query(spark):
     r = random.Random(7)
     vectors = {i: [float(r.randrange(4)) for _ in range(3)] for i in range(90)}  # a coarse grid, so that many tie

@@ -126,7 +126,7 @@ def assignment_lca(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    release_composition, preferred_quality, taxonomy_resolution, lineage_report, reconciliation, compartment_suffixes, located_taxa, site_coverage, coverage_totals, unlocated_taxa, source_totals, assignment_lca)}
+    release_composition, preferred_quality, taxonomy_resolution, lineage_report, reconciliation, located_taxa, site_coverage, coverage_totals, unlocated_taxa, source_totals, assignment_lca)}
 
 _OID = "nullif(regexp_extract({0}, '(?:^|[^0-9])([0-9]{{10}})(?:[^0-9]|$)', 1), '')"
 _SEQ = "'SSU_' || nullif(regexp_extract(sequence_id, '[Ss][Ss][Uu]_([A-Za-z0-9_-]{43})', 1), '')"
@@ -156,7 +156,6 @@ ORACLES = {
     "lineage_report": f"SELECT domain, lineage, count(*) AS rows, CAST(CASE domain WHEN 'Bacteria' THEN 1 WHEN 'Archaea' THEN 2 ELSE 3 END AS BIGINT) AS place FROM {_RANK} WHERE {_GOOD} GROUP BY 1, 2",
     "reconciliation": f"SELECT d.domain, count(lineage) FILTER (WHERE {_GOOD}) AS resolved, count(lineage) FILTER (WHERE {_GOOD}) AS listed, count(DISTINCT lineage) FILTER (WHERE {_GOOD}) AS lineages, count(DISTINCT lineage) FILTER (WHERE {_GOOD}) AS listed_lineages, "
     f"true AS agree FROM (VALUES ('Bacteria'), ('Archaea'), ('Eukaryota')) d(domain) LEFT JOIN {_RANK} r ON r.domain = d.domain GROUP BY 1",
-    "compartment_suffixes": f"SELECT DISTINCT regexp_extract(lineage, ':([^:]+)$', 1) AS suffix FROM {_RANK} WHERE domain = 'Eukaryota' AND lineage LIKE '%:%'",
     "located_taxa": f"WITH {_IMG} SELECT * FROM j",
     "site_coverage": f"WITH {_IMG} SELECT latitude, longitude, count(*) AS taxa, CAST(sum(records_16s) AS BIGINT) AS records_16s, CAST(sum(records_18s) AS BIGINT) AS records_18s, "
     "array_to_string(list_slice(list(oid ORDER BY oid), 1, 5), ', ') AS preview FROM j WHERE latitude IS NOT NULL GROUP BY 1, 2",

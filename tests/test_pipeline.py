@@ -9,7 +9,7 @@ from sedimark.functions import sequences as S
 from sedimark.functions import text as X
 from sedimark.operators.integrity import IntegrityError, require
 from sedimark.operators.trees import classify_by_neighbours, leaf_distances, ranked_neighbours
-from sedimark.plans import annotate, calibrate, release
+from sedimark.plans import annotate, calibrate, release, reports
 from sedimark.sinks import files
 from sedimark.sources import headers, text
 from sedimark.streaming import arrivals
@@ -426,6 +426,12 @@ def test_tree_tasks_and_markers(spark):
         "same": ("18S", "majority_global_top_hits", 0, 1), "none": ("18S", "detected_model_no_blast_hits", 0, 0)}
 
 
+def test_suffixes_left_in_preferred_rows(spark, tmp_path):
+    rows = [("Eukaryota;Obazoa:plas;x", "Eukaryota"), ("Eukaryota;Obazoa", "Eukaryota"), ("Eukaryota", "Eukaryota"), ("Bacteria;a:mito", "Bacteria"), (None, "Eukaryota")]
+    spark.createDataFrame(rows, "taxonomy string, domain string").write.parquet(str(tmp_path / "preferred_taxonomy.parquet"))
+    assert [r.suffix for r in reports.compartment_suffixes(spark, str(tmp_path)).collect()] == ["plas"]
+
+
 def test_tree_reports(spark):
     columns = "query string, subject string, marker string, bit_score double, percent_identity double, alignment_length int, e_value double"
     hits = spark.createDataFrame([("t1", f"s{i}", "16S", 100.5 - i, 97.125, 10, 1e-9) for i in range(3)] + [("t2", "s0", "16S", 5.0, 90.0, 10, 1.0)], columns)

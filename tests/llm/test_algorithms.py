@@ -67,6 +67,34 @@ def test_consensus_differs_from_trust(spark):
         assert (by_rows[f"tokens{g}"], by_trust[f"tokens{g}"]) == (10 * g + 5, 10 * g + 4)
 
 
+@pytest.mark.parametrize("name", ["p5_found", "p5_survivors", "p5_records", "p5_consensus"])
+def test_only_the_vote_by_rows_aligns(spark, tmp_path, name):
+    """Under a strict order of trust alignment and vote cannot alter a row: they must not run, and nothing be gathered for them."""
+    import __spark_entry__ as entry
+
+    columns = "row_id long, sequence_id string, taxonomy string, taxonomy_source string, assignment_method string, cross_domain_conflict boolean, loaded_at timestamp_ntz"
+    spark.createDataFrame([], columns).write.parquet(str(tmp_path / "preferred_taxonomy.parquet"))
+    plan = entry.queries()[name](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    stages = {s for s in ("ArrowEvalPython", "collect_list") if s in plan}
+    assert stages == ({"ArrowEvalPython", "collect_list"} if name == "p5_consensus" else set())
+
+
+def test_survivors_by_trust_equal_brute_force(spark):
+    r = random.Random(5)
+    rows = [(i, f"k{r.randrange(60)}" if r.random() < 0.5 else r.choice(["hot", None, f"one{i}"]), r.randrange(3), r.choice([None, "", "x", "y z", "é"]), r.choice([None, None, None, "p"])) for i in r.sample(range(5000), 1500)]
+    rows += rows[:50]
+    groups, want = {}, []
+    for i, k, trust, *values in rows:
+        groups.setdefault(k, []).append((trust, i, values))
+    for k, held in groups.items():
+        for f, name in enumerate("ab"):
+            if k is not None and len(held) > 1 and (best := min(((t, i, v[f]) for t, i, v in held if v[f] is not None), default=None)):
+                want.append((k, name, *best[1:]))
+    df = spark.createDataFrame(rows, "row_id long, k string, trust int, a string, b string").repartition(5)
+    out = survivors(df, F.col("k"), [Field("a", F.col("a")), Field("b", F.col("b"))], [F.col("trust")])
+    assert sorted(tuple(x) for x in out.collect()) == sorted(want)
+
+
 @pytest.mark.parametrize("name", ["p1_found", "p1_ranked", "p5_found", "p5_survivors", "p5_records"])
 def test_query_equals_sql(spark, name):
     from tests.test_queries import FOLDER, compare
